@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from orderlens.config import RunConfig
 from orderlens.operators import baselines
 from orderlens.operators.binary_metrics import binary_metrics
-from orderlens.operators.models import MODEL_NAMES, FittedClassifier, fit_classifier
+from orderlens.operators.models import (
+    MODEL_NAMES,
+    FittedClassifier,
+    fit_classifier,
+    prepare_training,
+)
 from orderlens.operators.ranking_metrics import category_metrics
 from orderlens.operators.snapshots import feature_columns
 from orderlens.scratch import stage
@@ -107,20 +112,20 @@ def readiness_metrics_of(model: FittedClassifier, rows: DataFrame, candidate: st
 
 def category_comparison(train: DataFrame, validation: DataFrame, config: RunConfig) -> DataFrame:
     """One metric row per category candidate, baselines first."""
-    features = feature_columns(train)
     frames = [category_baselines(train, validation, config)]
+    data = prepare_training(train, feature_columns(train), CATEGORY_LABEL, binary=False)
     for name in MODEL_NAMES:
-        model = fit_classifier(name, train, features, CATEGORY_LABEL, False, config)
+        model = fit_classifier(name, data, config)
         frames.append(category_metrics_of(model, validation, name, config))
     return stage(_union(frames), "category-comparison")
 
 
 def readiness_comparison(train: DataFrame, validation: DataFrame, config: RunConfig) -> DataFrame:
     """One metric row per readiness candidate, the baseline first."""
-    features = feature_columns(train)
     frames = [readiness_baseline(validation)]
+    data = prepare_training(train, feature_columns(train), READINESS_LABEL, binary=True)
     for name in MODEL_NAMES:
-        model = fit_classifier(name, train, features, READINESS_LABEL, True, config)
+        model = fit_classifier(name, data, config)
         frames.append(readiness_metrics_of(model, validation, name))
     return stage(_union(frames), "readiness-comparison")
 

@@ -156,15 +156,23 @@ def category_labels(raw: DataFrame) -> DataFrame:
 
 
 def casefold_clashes(raw: DataFrame) -> DataFrame:
-    """Labels that are equal to another label once case is folded."""
+    """(folded, category, orders, kept): labels equal to another one once case is folded.
+
+    ``kept`` marks the label with most orders of its folded form, ties to the smallest.
+    """
     labels = category_labels(raw)
     clashing = (
         labels.groupBy("folded")
-        .agg(F.count(F.lit(1)).alias("variants"))
+        .agg(
+            F.count(F.lit(1)).alias("variants"),
+            F.min(F.struct((-F.col("orders")).alias("negative"), "category")).alias("first"),
+        )
         .filter(F.col("variants") > 1)
-        .select("folded")
+        .select("folded", F.col("first.category").alias("dominant"))
+    )
+    return labels.join(clashing, "folded").select(
+        "folded", "category", "orders", (F.col("category") == F.col("dominant")).alias("kept")
     )
-    return labels.join(clashing, "folded", "left_semi")
 
 
 def date_issues(raw: DataFrame) -> DataFrame:
@@ -236,13 +244,17 @@ def contract_report(raw: DataFrame) -> DataFrame:
 def with_violations(raw: DataFrame) -> DataFrame:
     """Cleaned rows plus ``violations``, the names of the broken rules in order.
 
+    All copies of a repeated id are at fault; of labels that fold together, the most
+    frequent one stays valid.
     The lookups of repeated ids and clashing labels are plain equi-joins: adaptive
     execution broadcasts them when they are small and otherwise splits the partition
     of an id or label that dominates.
     """
     rows = cleaned(raw)
     repeated = duplicate_orders(raw).select("order_id", F.lit(True).alias("is_repeated"))
-    clashing = casefold_clashes(raw).select("category", F.lit(True).alias("is_clashing"))
+    clashing = (
+        casefold_clashes(raw).filter("not kept").select("category", F.lit(True).alias("is_clashing"))
+    )
     broken = dict(row_rules())
     broken[DUPLICATE_RULE] = F.coalesce("is_repeated", F.lit(False))
     broken[CASEFOLD_RULE] = F.coalesce("is_clashing", F.lit(False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import (
@@ -187,16 +189,24 @@ class FittedClassifier:
         return both.withColumn(result, F.element_at("both", 2)).drop("both")
 
 
-def fit_classifier(
-    name: str, frame: DataFrame, features: list[str], label: str, binary: bool, config: RunConfig
-) -> FittedClassifier:
-    """Fit one candidate on rows whose label is not null.
+@dataclass(frozen=True)
+class TrainingSet:
+    """Prepared rows of one task: staged vectors, their labels and the preparation."""
+
+    preprocessing: PipelineModel
+    vectors: DataFrame
+    labels: list
+    rows: int
+    binary: bool
+
+
+def prepare_training(
+    frame: DataFrame, features: list[str], label: str, binary: bool
+) -> TrainingSet:
+    """Fit the preparation on rows whose label is not null and stage the vectors once.
 
-    The prepared vectors are staged once; every boosting round reads them from there.
+    Every candidate and every boosting round reads the staged vectors.
     """
-    if name not in MODEL_NAMES:
-        raise ValueError(f"Unknown model: {name}")
-    shared_folder(frame.sparkSession)
     labeled = frame.filter(F.col(label).isNotNull()).select(*features, label)
     preprocessing = fit_preprocessing(labeled, features)
     if binary:
@@ -207,13 +217,25 @@ def fit_classifier(
         position = (
             F.array_position(F.array(*[F.lit(value) for value in labels]), F.col(label)) - 1
         ).cast("double")
-    prepared = preprocessing.transform(labeled).select("features", position.alias("label"))
-    vectors = stage(prepared, "vectors")
-    vectors = vectors.withColumn("weight", _balance(vectors) if binary else F.lit(1.0))
+    vectors = stage(
+        preprocessing.transform(labeled).select("features", position.alias("label")), "vectors"
+    )
+    rows = vectors.count()
+    weight = _balance(vectors) if binary else F.lit(1.0)
+    return TrainingSet(preprocessing, vectors.withColumn("weight", weight), labels, rows, binary)
+
+
+def fit_classifier(name: str, data: TrainingSet, config: RunConfig) -> FittedClassifier:
+    """Fit one candidate."""
+    if name not in MODEL_NAMES:
+        raise ValueError(f"Unknown model: {name}")
+    shared_folder(data.vectors.sparkSession)
+    multiclass_boosting = name != "logistic_regression" and not data.binary
     if name == "logistic_regression":
-        model = _logistic(vectors.count(), binary, config).fit(vectors)
-        return FittedClassifier(preprocessing, model, labels, False)
-    if binary:
-        return FittedClassifier(preprocessing, _boosting(config).fit(vectors), labels, False)
-    one_vs_rest = OneVsRest(classifier=_boosting(config), weightCol="weight", parallelism=3)
-    return FittedClassifier(preprocessing, one_vs_rest.fit(vectors), labels, True)
+        estimator = _logistic(data.rows, data.binary, config)
+    elif data.binary:
+        estimator = _boosting(config)
+    else:
+        estimator = OneVsRest(classifier=_boosting(config), weightCol="weight", parallelism=3)
+    model = estimator.fit(data.vectors)
+    return FittedClassifier(data.preprocessing, model, data.labels, multiclass_boosting)

@@ -124,8 +124,13 @@ def _validation_blend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _validation_readiness(spark: SparkSession, folder: str) -> DataFrame:
+    """Validation rows scored by the cadence rule.
+
+    Scores are rounded to nine decimals: the exponential of two engines may differ in
+    the last bit, which would turn one threshold into two.
+    """
     return baselines.with_cadence_readiness(_split(spark, folder, "validation")).select(
-        *KEYS, BOUGHT, "readiness"
+        *KEYS, BOUGHT, F.round("readiness", 9).alias("readiness")
     )
 
 
@@ -405,12 +410,16 @@ def class_weights(spark: SparkSession, folder: str) -> DataFrame:
     return models.class_weights(_split(spark, folder, "train"), BOUGHT)
 
 
+def _fitted(spark: SparkSession, folder: str, name: str, label: str, binary: bool):
+    data = models.prepare_training(
+        _split(spark, folder, "train"), _features(spark, folder), label, binary
+    )
+    return models.fit_classifier(name, data, RUN)
+
+
 def _readiness_query(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        features = _features(spark, folder)
-        model = models.fit_classifier(
-            name, _split(spark, folder, "train"), features, BOUGHT, True, RUN
-        )
+        model = _fitted(spark, folder, name, BOUGHT, binary=True)
         return model.positive(_split(spark, folder, "validation")).select(
             *KEYS, BOUGHT, "readiness"
         )
@@ -419,9 +428,7 @@ def _readiness_query(name: str) -> Query:
 
 
 def _category_scores(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    model = models.fit_classifier(
-        name, _split(spark, folder, "train"), _features(spark, folder), LABEL, False, RUN
-    )
+    model = _fitted(spark, folder, name, LABEL, binary=False)
     rows = comparison.category_labeled(_split(spark, folder, "validation"))
     return model.aligned(rows, RUN.categories)
 
@@ -442,10 +449,7 @@ def _category_query(name: str) -> Query:
 
 def aligned_probabilities(spark: SparkSession, folder: str) -> DataFrame:
     """Probabilities against a class order that also lists a class never trained on."""
-    train = _split(spark, folder, "train")
-    model = models.fit_classifier(
-        "logistic_regression", train, _features(spark, folder), LABEL, False, RUN
-    )
+    model = _fitted(spark, folder, "logistic_regression", LABEL, binary=False)
     order = ["ABSENT", *reversed(RUN.categories)]
     scored = model.aligned(_split(spark, folder, "validation"), order)
     total = F.aggregate("probabilities", F.lit(0.0), lambda acc, p: acc + p)
@@ -463,7 +467,9 @@ def category_comparison_baselines(spark: SparkSession, folder: str) -> DataFrame
 
 
 def readiness_comparison_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.readiness_baseline(_split(spark, folder, "validation"))
+    return comparison.readiness_metrics(
+        _validation_readiness(spark, folder), "cadence_rule_baseline"
+    )
 
 
 def category_test_baselines(spark: SparkSession, folder: str) -> DataFrame:

@@ -212,14 +212,17 @@ CTES: dict[str, str] = {
         SELECT lower(category) AS folded, category, count(*) AS orders FROM dirty
         GROUP BY lower(category), category""",
     "clash": """
-        SELECT * FROM labels_seen WHERE folded IN (
+        SELECT *, row_number() OVER (PARTITION BY folded ORDER BY orders DESC, category) = 1
+            AS kept
+        FROM labels_seen WHERE folded IN (
             SELECT folded FROM labels_seen GROUP BY folded HAVING count(*) > 1)""",
     "flags": """
         SELECT d.*, d.region IS NULL AS required_not_null,
             d.category = '' AS category_not_blank,
             k % 101 = 0 AS customer_id_no_formula_prefix,
             r.order_id IS NOT NULL AS order_id_unique,
-            d.category IN (SELECT category FROM clash) AS category_unique_after_folding,
+            d.category IN (SELECT category FROM clash WHERE NOT kept)
+                AS category_unique_after_folding,
             k % 103 = 0 AS order_date_format,
             k % 107 = 0 AND k % 103 <> 0 AS order_date_valid,
             k % 113 = 0 AS contribution_margin_finite,
@@ -261,7 +264,9 @@ CTES: dict[str, str] = {
             + 0.25::DOUBLE * greatest(-2.0::DOUBLE, least(2.0::DOUBLE, order_momentum - 1.0)))))
             AS readiness
         FROM snap""",
-    "vready": f"SELECT * FROM ready WHERE {_VALIDATION}",
+    "vready": f"""
+        SELECT customer_id, score_date, purchase_within_30d, round(readiness, 9) AS readiness
+        FROM ready WHERE {_VALIDATION}""",
     "curve": """
         SELECT readiness, count(*) AS n, sum(purchase_within_30d) AS pos FROM vready
         GROUP BY readiness""",
@@ -534,7 +539,7 @@ FINALS: dict[str, str] = {
         for c in _COLUMNS.split(",")
     ),
     "contract_duplicate_orders": "SELECT order_id, copies FROM repeated",
-    "contract_category_casefold": "SELECT folded, category, orders FROM clash",
+    "contract_category_casefold": "SELECT folded, category, orders, kept FROM clash",
     "contract_dates": """SELECT order_id, order_date, CASE WHEN k % 103 = 0 THEN 'format'
         ELSE 'invalid_day' END AS issue FROM dirty WHERE k % 103 = 0 OR k % 107 = 0""",
     "contract_numerics": """
