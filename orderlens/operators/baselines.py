@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import config as fixed
@@ -11,40 +11,63 @@ from orderlens.functions import expressions as E
 Classes = list[str] | tuple[str, ...]
 
 
+def class_table(spark: SparkSession, classes: Classes) -> DataFrame:
+    """(class_index, category), one row per class of the list."""
+    rows = [
+        F.struct(F.lit(index).alias("class_index"), F.lit(name).alias("category"))
+        for index, name in enumerate(classes)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def label_counts(labels: DataFrame, label: str, classes: Classes) -> DataFrame:
     """Occurrences of each class among non-null labels, classes without any included."""
-    spark = labels.sparkSession
-    listed = spark.createDataFrame(
-        [(index, name) for index, name in enumerate(classes)],
-        "class_index int, category string",
-    )
     counted = (
         labels.filter(F.col(label).isin(*classes))
         .groupBy(F.col(label).alias("category"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    return listed.join(counted, "category", "left").select(
-        "class_index", "category", F.coalesce("orders", F.lit(0)).alias("orders")
+    return (
+        class_table(labels.sparkSession, classes)
+        .join(counted, "category", "left")
+        .select("class_index", "category", F.coalesce("orders", F.lit(0)).alias("orders"))
     )
 
 
 def popularity_table(labels: DataFrame, label: str, classes: Classes) -> DataFrame:
     """Share of each class among the labels that belong to the class list."""
-    counts = label_counts(labels, label, classes)
-    total = counts.agg(F.sum("orders")).scalar()
-    return counts.select(
-        "class_index",
-        "category",
-        "orders",
-        F.try_divide(F.col("orders").cast("double"), total.cast("double")).alias("probability"),
+    rows = F.col("listed")
+    return (
+        _collected_counts(labels, label, classes)
+        .select("total", F.explode("listed").alias("listed"))
+        .select(
+            rows["class_index"].alias("class_index"),
+            rows["category"].alias("category"),
+            rows["orders"].alias("orders"),
+            _share(rows["orders"], F.col("total")).alias("probability"),
+        )
     )
 
 
 def popularity_vector(labels: DataFrame, label: str, classes: Classes) -> Column:
     """The same shares as one array column, in class order; attaches to any frame."""
-    table = popularity_table(labels, label, classes)
-    pairs = F.array_sort(F.collect_list(F.struct("class_index", "probability")))
-    return table.agg(F.transform(pairs, lambda pair: pair["probability"])).scalar()
+    return (
+        _collected_counts(labels, label, classes)
+        .select(F.transform("listed", lambda row: _share(row["orders"], F.col("total"))))
+        .scalar()
+    )
+
+
+def _collected_counts(labels: DataFrame, label: str, classes: Classes) -> DataFrame:
+    """One row: the counts of all classes in class order, and their total."""
+    return label_counts(labels, label, classes).agg(
+        F.array_sort(F.collect_list(F.struct("class_index", "category", "orders"))).alias("listed"),
+        F.sum("orders").alias("total"),
+    )
+
+
+def _share(orders: Column, total: Column) -> Column:
+    return F.try_divide(orders.cast("double"), total.cast("double"))
 
 
 def last_category_probabilities(

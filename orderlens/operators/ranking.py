@@ -20,14 +20,14 @@ def _before_block(blocks: DataFrame, names: list[str], within: list[str]) -> Dat
     """Exclusive running sum of ``names`` over the block totals."""
     earlier = (
         Window.partitionBy(*within)
-        .orderBy("block")
+        .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return blocks.select(
         *within,
-        "block",
+        "_block",
         *[
-            F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"before_{name}")
+            F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}")
             for name in names
         ],
     )
@@ -36,15 +36,15 @@ def _before_block(blocks: DataFrame, names: list[str], within: list[str]) -> Dat
 def global_rank(frame: DataFrame, order: list[Column], rank: str) -> DataFrame:
     """Add the 1-based position of each row in a total order."""
     ordered = frame.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = stage(ordered.withColumn("place", F.monotonically_increasing_id()), "ranked")
-    placed = placed.withColumn("block", F.shiftright("place", _BLOCK_BITS))
-    sizes = placed.groupBy("block").agg(F.count(F.lit(1)).alias("rows"))
+    placed = stage(ordered.withColumn("_place", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("_block", F.shiftright("_place", _BLOCK_BITS))
+    sizes = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("rows"))
     offsets = _before_block(sizes, ["rows"], [])
-    within = F.col("place").bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
+    within = F.col("_place").bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
     return (
-        placed.join(F.broadcast(offsets), "block")
-        .withColumn(rank, F.col("before_rows") + within + 1)
-        .drop("block", "place", "before_rows")
+        placed.join(F.broadcast(offsets), "_block")
+        .withColumn(rank, F.col("_before_rows") + within + 1)
+        .drop("_block", "_place", "_before_rows")
     )
 
 
@@ -54,22 +54,22 @@ def running_totals(frame: DataFrame, order: list[Column], names: list[str]) -> D
     ``frame`` should already be aggregated to one row per distinct order value.
     """
     ranged = frame.repartitionByRange(*order).withColumn(
-        "block", F.spark_partition_id().cast("long")
+        "_block", F.spark_partition_id().cast("long")
     )
     placed = stage(ranged, "running")
-    totals = placed.groupBy("block").agg(*[F.sum(name).alias(name) for name in names])
+    totals = placed.groupBy("_block").agg(*[F.sum(name).alias(name) for name in names])
     offsets = _before_block(totals, names, [])
     up_to_here = (
-        Window.partitionBy("block")
+        Window.partitionBy("_block")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        placed.join(F.broadcast(offsets), "block")
+        placed.join(F.broadcast(offsets), "_block")
         .select(
             *frame.columns,
             *[
-                (F.col(f"before_{name}") + F.sum(name).over(up_to_here)).alias(f"cum_{name}")
+                (F.col(f"_before_{name}") + F.sum(name).over(up_to_here)).alias(f"cum_{name}")
                 for name in names
             ],
         )
@@ -88,38 +88,38 @@ def grouped_median(frame: DataFrame, group: str, value: str, result: str) -> Dat
         .groupBy(group, value)
         .agg(F.count(F.lit(1)).alias("rows"))
         .repartitionByRange(group, value)
-        .withColumn("block", F.spark_partition_id().cast("long"))
+        .withColumn("_block", F.spark_partition_id().cast("long"))
     )
     placed = stage(frequencies, "frequencies")
-    blocks = placed.groupBy(group, "block").agg(F.sum("rows").alias("rows"))
-    sizes = blocks.groupBy(group).agg(F.sum("rows").alias("size"))
-    low = F.floor((F.col("size") + 1) / 2).cast("long")
-    high = (F.floor(F.col("size") / 2) + 1).cast("long")
+    blocks = placed.groupBy(group, "_block").agg(F.sum("rows").alias("rows"))
+    sizes = blocks.groupBy(group).agg(F.sum("rows").alias("_size"))
+    low = F.floor((F.col("_size") + 1) / 2).cast("long")
+    high = (F.floor(F.col("_size") / 2) + 1).cast("long")
     middle = (
         _before_block(blocks, ["rows"], [group])
-        .join(blocks, [group, "block"])
+        .join(blocks, [group, "_block"])
         .join(sizes, group)
-        .withColumn("low", low)
-        .withColumn("high", high)
+        .withColumn("_low", low)
+        .withColumn("_high", high)
         .filter(
-            (F.col("before_rows") < F.col("high"))
-            & (F.col("before_rows") + F.col("rows") >= F.col("low"))
+            (F.col("_before_rows") < F.col("_high"))
+            & (F.col("_before_rows") + F.col("rows") >= F.col("_low"))
         )
-        .select(group, "block", "before_rows", "low", "high")
+        .select(group, "_block", "_before_rows", "_low", "_high")
     )
     upto = (
-        Window.partitionBy(group, "block")
+        Window.partitionBy(group, "_block")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    last = F.col("before_rows") + F.sum("rows").over(upto)
+    last = F.col("_before_rows") + F.sum("rows").over(upto)
     located = (
-        placed.join(F.broadcast(middle), [group, "block"])
-        .withColumn("last_position", last)
-        .withColumn("first_position", F.col("last_position") - F.col("rows") + 1)
+        placed.join(F.broadcast(middle), [group, "_block"])
+        .withColumn("_last_position", last)
+        .withColumn("_first_position", F.col("_last_position") - F.col("rows") + 1)
     )
-    at_low = F.col("low").between(F.col("first_position"), F.col("last_position"))
-    at_high = F.col("high").between(F.col("first_position"), F.col("last_position"))
+    at_low = F.col("_low").between(F.col("_first_position"), F.col("_last_position"))
+    at_high = F.col("_high").between(F.col("_first_position"), F.col("_last_position"))
     return located.groupBy(group).agg(
         (
             (F.max(F.when(at_low, F.col(value))) + F.max(F.when(at_high, F.col(value))))

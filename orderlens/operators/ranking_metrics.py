@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import expressions as E
+from orderlens.operators.baselines import class_table
 
 Classes = list[str] | tuple[str, ...]
 # Fixed value: spacing of float64 at 1, the clip used by the log loss.
@@ -95,7 +96,6 @@ def per_category_recall(
     frame: DataFrame, label: str, probabilities: str, classes: Classes
 ) -> DataFrame:
     """Support and recall for every class; recall is NULL where support is 0."""
-    spark = frame.sparkSession
     measured = (
         with_true_rank(frame, label, probabilities, classes)
         .groupBy(F.col(label).alias("category"))
@@ -105,7 +105,7 @@ def per_category_recall(
             hit_rate(3).alias("top_3_recall"),
         )
     )
-    listed = spark.createDataFrame([(name,) for name in classes], "category string")
+    listed = class_table(frame.sparkSession, classes)
     return listed.join(measured, "category", "left").select(
         "category",
         F.coalesce("support", F.lit(0)).alias("support"),

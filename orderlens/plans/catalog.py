@@ -477,29 +477,32 @@ def category_test_baselines(spark: SparkSession, folder: str) -> DataFrame:
     return comparison.category_baselines(known, _split(spark, folder, "test"), RUN)
 
 
-def category_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.category_comparison(
-        _split(spark, folder, "train"), _split(spark, folder, "validation"), RUN
-    )
-
-
-def readiness_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.readiness_comparison(
-        _split(spark, folder, "train"), _split(spark, folder, "validation"), RUN
+def _compared(spark: SparkSession, folder: str, task: str) -> DataFrame:
+    """Candidate metrics of one task; the fits behind them are shared by five queries."""
+    build = {
+        "category": comparison.category_comparison,
+        "readiness": comparison.readiness_comparison,
+    }[task]
+    return _once(
+        spark,
+        folder,
+        f"{task}-comparison",
+        lambda: build(_split(spark, folder, "train"), _split(spark, folder, "validation"), RUN),
     )
 
 
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.model_comparison(*train_job.compare(labeled(spark, folder), RUN))
+    return comparison.model_comparison(
+        _compared(spark, folder, "category"), _compared(spark, folder, "readiness")
+    )
 
 
 def select_model(spark: SparkSession, folder: str) -> DataFrame:
-    category, readiness = train_job.compare(labeled(spark, folder), RUN)
     return (
-        comparison.select_category_model(category)
+        comparison.select_category_model(_compared(spark, folder, "category"))
         .withColumn("task", F.lit("next_category"))
         .unionByName(
-            comparison.select_readiness_model(readiness).withColumn(
+            comparison.select_readiness_model(_compared(spark, folder, "readiness")).withColumn(
                 "task", F.lit("purchase_readiness_30d")
             )
         )
@@ -513,6 +516,25 @@ def test_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     )[2]
 
 
+def model_gates(spark: SparkSession, folder: str) -> DataFrame:
+    """Does the best fitted candidate improve on the baseline of its task?"""
+    category = monitoring.model_gate(
+        _compared(spark, folder, "category"),
+        "top_3_hit_rate",
+        "last_category_baseline",
+        models.MODEL_NAMES,
+    )
+    readiness = monitoring.model_gate(
+        _compared(spark, folder, "readiness"),
+        "average_precision",
+        "cadence_rule_baseline",
+        models.MODEL_NAMES,
+    )
+    return category.withColumn("task", F.lit("next_category")).unionByName(
+        readiness.withColumn("task", F.lit("purchase_readiness_30d"))
+    )
+
+
 def train_job_query(spark: SparkSession, folder: str) -> DataFrame:
     result = train_job.run_training(orders(spark, folder), RUN)
     paths = train_job.write_training(result, RUN, new_path(spark, "training"))
@@ -734,13 +756,14 @@ QUERIES: dict[str, Query] = {
     "category_gbt": _category_query("gradient_boosting"),
     "aligned_probabilities": aligned_probabilities,
     "category_comparison_baselines": category_comparison_baselines,
-    "category_comparison": category_comparison,
+    "category_comparison": lambda s, d: _compared(s, d, "category"),
     "readiness_comparison_baseline": readiness_comparison_baseline,
-    "readiness_comparison": readiness_comparison,
+    "readiness_comparison": lambda s, d: _compared(s, d, "readiness"),
     "select_model": select_model,
     "test_evaluation": test_evaluation,
     "category_test_baselines": category_test_baselines,
     "model_comparison": model_comparison,
+    "model_gates": model_gates,
     "true_class_rank": true_class_rank,
     "top_k_hit_rate": top_k_hit_rate,
     "mean_reciprocal_rank": _ranking_metric(
