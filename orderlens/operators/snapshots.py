@@ -6,12 +6,13 @@ Plan shape, in the order Spark runs it:
    spreads a dominant customer over all partitions.
 2. What remains is shuffled once by customer. A customer now has at most one row per
    calendar day and category, however many orders it holds, so no partition can grow
-   with the volume of a single customer. Every later step reuses this partitioning.
-3. Running state (lifetime, first and previous day, last gaps, next order) comes from
-   windows over these days.
-4. Each day is handed to the score dates whose trailing year contains it; the last day
-   before a score date also carries the running state, so there is no as-of join.
-5. Two aggregations without a further exchange give one row per snapshot.
+   with the volume of a single customer. Nothing after this step shuffles or sorts again.
+3. Windows over these days give the running state (lifetime, first and previous day,
+   last gaps, next order) and the purchases of the trailing year, an array of at most
+   one entry per day and category.
+4. Each day is handed to the score dates for which it is the last day before: every
+   snapshot comes from exactly one row, with no as-of join and no aggregation.
+5. Array expressions turn the trailing year into the features of the snapshot.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def order_view(transactions: DataFrame) -> DataFrame:
 def customer_days(orders: DataFrame) -> DataFrame:
     """One row per customer and day, hash-partitioned by customer.
 
-    ``categories`` holds the day's orders per category, ``last_order`` and
+    ``purchases`` holds the day's orders per category, ``last_order`` and
     ``first_order`` the orders with the largest and smallest id of the day.
     """
     per_category = orders.groupBy("customer_id", "order_date", "category").agg(
@@ -87,14 +88,15 @@ def customer_days(orders: DataFrame) -> DataFrame:
             )
         ).alias("last"),
     )
+    purchase = F.struct(
+        "category", "order_date", "first_id", "orders", "order_value", "margin", "discounted"
+    )
     return (
         per_category.repartition("customer_id")
         .groupBy("customer_id", "order_date")
         .agg(
             F.sum("orders").alias("day_orders"),
-            F.collect_list(
-                F.struct("category", "orders", "order_value", "margin", "discounted", "first_id")
-            ).alias("categories"),
+            F.collect_list(purchase).alias("purchases"),
             F.max(F.struct("last", "category")).alias("last_order"),
             F.min(F.struct("first_id", "category")).alias("first_order"),
         )
@@ -102,56 +104,64 @@ def customer_days(orders: DataFrame) -> DataFrame:
 
 
 def running_state(days: DataFrame) -> DataFrame:
-    """Add what is known at the end of each day, and the next order after it."""
+    """Add what is known at the end of each day, and the next order after it.
+
+    ``trailing`` covers every score date up to the next order: the earliest of them is
+    the following day, whose trailing year starts 364 days before this one.
+    """
     by_day = Window.partitionBy("customer_id").orderBy("order_date")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A range over a DATE counts days; only SQL accepts whole numbers for it.
+    trailing_year = F.expr(
+        f"""flatten(collect_list(purchases) OVER (PARTITION BY customer_id ORDER BY order_date
+            RANGE BETWEEN {fixed.LONG_WINDOW_DAYS - 1} PRECEDING AND CURRENT ROW))"""
+    )
     # A day with n orders closes n gaps: one to the previous day, the others of length
     # zero. More than eight zeros per day can never be among the last eight gaps.
-    repeats = F.least(F.col("day_orders") - 1, F.lit(fixed.RECENT_GAPS)).cast("int")
-    day_gaps = F.concat(
-        F.when(
-            F.col("previous_date").isNotNull(),
-            F.array(F.datediff("order_date", "previous_date").cast("double")),
-        ).otherwise(F.array().cast("array<double>")),
-        F.array_repeat(F.lit(0.0), repeats),
+    day_gaps = F.expr(
+        f"""concat(
+            if(previous_date IS NULL, CAST(array() AS array<double>),
+                array(CAST(datediff(order_date, previous_date) AS double))),
+            array_repeat(0D, CAST(least(day_orders - 1, {fixed.RECENT_GAPS}) AS int)))"""
     )
     recent = F.flatten(
-        F.collect_list("day_gaps").over(by_day.rowsBetween(-(fixed.RECENT_GAPS - 1), 0))
+        F.collect_list("day_gaps").over(by_day.rowsBetween(1 - fixed.RECENT_GAPS, 0))
     )
-    last_eight = F.when(
-        F.size("gaps") > fixed.RECENT_GAPS,
-        F.slice("gaps", -fixed.RECENT_GAPS, fixed.RECENT_GAPS),
-    ).otherwise(F.col("gaps"))
     return (
         days.withColumn("previous_date", F.lag("order_date").over(by_day))
         .withColumn("day_gaps", day_gaps)
-        .withColumn("gaps", recent)
-        .withColumn("gaps", F.sort_array(last_eight))
-        .withColumn("next_date", F.lead("order_date").over(by_day))
         .select(
             "customer_id",
             "order_date",
-            "categories",
-            "next_date",
-            F.struct(
-                F.sum("day_orders").over(so_far).alias("orders_lifetime"),
-                F.min("order_date").over(so_far).alias("first_date"),
-                F.col("order_date").alias("last_date"),
-                F.col("last_order.category").alias("last_category"),
-                F.col("last_order.last.order_value").alias("last_value"),
-                F.col("last_order.last.contribution_margin").alias("last_margin"),
-                F.col("last_order.last.acquisition_channel").alias("channel"),
-                F.col("last_order.last.region").alias("region"),
-                F.coalesce(E.median_of_sorted(F.col("gaps")), F.lit(fixed.DEFAULT_GAP_DAYS)).alias(
-                    "gap_median"
-                ),
-                F.coalesce(
-                    E.population_spread(F.col("gaps")), F.lit(fixed.DEFAULT_GAP_SPREAD)
-                ).alias("gap_spread"),
-                F.col("next_date"),
-                F.lead("first_order.category").over(by_day).alias("next_category"),
-            ).alias("state"),
+            F.lead("order_date").over(by_day).alias("next_date"),
+            F.lead("first_order.category").over(by_day).alias("next_category"),
+            F.sum("day_orders").over(so_far).alias("orders_lifetime"),
+            F.min("order_date").over(so_far).alias("first_date"),
+            recent.alias("recent_gaps"),
+            trailing_year.alias("trailing"),
+            F.col("last_order.category").alias("last_category"),
+            F.col("last_order.last").alias("last"),
+        )
+    )
+
+
+def _with_gap_stats(states: DataFrame) -> DataFrame:
+    """Median and population deviation of the last eight gaps."""
+    last_eight = F.when(
+        F.size("recent_gaps") > fixed.RECENT_GAPS,
+        F.slice("recent_gaps", -fixed.RECENT_GAPS, fixed.RECENT_GAPS),
+    ).otherwise(F.col("recent_gaps"))
+    gaps = F.col("gaps")
+    return (
+        states.withColumn("gaps", F.sort_array(last_eight))
+        .withColumn(
+            "typical_gap",
+            F.coalesce(E.median_of_sorted(gaps), F.lit(fixed.DEFAULT_GAP_DAYS)),
         )
+        .withColumn(
+            "gap_spread", F.coalesce(E.population_spread(gaps), F.lit(fixed.DEFAULT_GAP_SPREAD))
+        )
+        .drop("gaps", "recent_gaps")
     )
 
 
@@ -183,186 +193,173 @@ def _grid_date(index: Column, config: RunConfig) -> Column:
     )
 
 
-def _fan_out_to_grid(states: DataFrame, orders: DataFrame, config: RunConfig) -> DataFrame:
-    """Give each customer-day to every score date within the year that follows it."""
-    offset = F.datediff("order_date", F.lit(config.snapshot_start).cast("date"))
+def _grid_snapshots(transactions: DataFrame, config: RunConfig) -> DataFrame:
+    """One row per eligible (customer, score date): the state of the last day before it."""
+    orders = order_view(transactions)
+    states = running_state(customer_days(orders))
+    start = F.lit(config.snapshot_start).cast("date")
     step = config.snapshot_frequency_days
+    offset = F.datediff("order_date", start)
     first = F.greatest(F.floor(offset / step).cast("int") + 1, F.lit(0))
     last = F.least(
-        F.floor((offset + fixed.LONG_WINDOW_DAYS) / step).cast("int"),
+        F.floor((offset + fixed.MAX_RECENCY_DAYS) / step).cast("int"),
+        F.coalesce(F.floor(F.datediff("next_date", start) / step).cast("int"), F.lit(2**31 - 1)),
         _last_index(orders, config),
     )
-    return (
-        states.withColumn("first_index", first)
+    useful = (
+        states.filter(F.col("orders_lifetime") >= config.min_history_orders)
+        .withColumn("first_index", first)
         .withColumn("last_index", last)
         .filter("first_index <= last_index")
+    )
+    return (
+        _with_gap_stats(useful)
         .withColumn("index", F.explode(F.sequence("first_index", "last_index")))
         .withColumn("score_date", _grid_date(F.col("index"), config))
     )
 
 
-def _carry_state(fanned: DataFrame) -> DataFrame:
-    """Keep the running state only on the last day before the score date."""
-    is_last = F.col("next_date").isNull() | (F.col("next_date") >= F.col("score_date"))
-    return fanned.select(
-        "customer_id",
-        "score_date",
-        "order_date",
-        F.when(is_last, F.col("state")).alias("state"),
-        F.inline("categories"),
-    )
-
-
-def _per_category(rows: DataFrame) -> DataFrame:
-    """Trailing-window measures per (customer, score date, category)."""
-    mid = F.col("order_date") >= F.date_sub("score_date", fixed.MID_WINDOW_DAYS)
-    short = F.col("order_date") >= F.date_sub("score_date", fixed.SHORT_WINDOW_DAYS)
-    return rows.groupBy(*KEYS, "category").agg(
-        F.sum("orders").alias("orders"),
-        F.sum(F.when(mid, F.col("orders"))).alias("orders_mid"),
-        F.sum(F.when(short, F.col("orders"))).alias("orders_short"),
-        F.sum("order_value").alias("order_value"),
-        F.sum("margin").alias("margin"),
-        F.sum("discounted").alias("discounted"),
-        F.sum(F.when(E.is_weekend(F.col("order_date")), F.col("orders"))).alias("weekend"),
-        F.max("order_date").alias("last_date"),
-        F.min(F.struct("order_date", "first_id")).alias("first_seen"),
-        # Every non-null state of one snapshot is the same value.
-        F.first("state", ignorenulls=True).alias("state"),
-    )
-
-
-def grid_categories(transactions: DataFrame, config: RunConfig) -> DataFrame:
-    """(customer, score date, category) measures on the whole score-date grid."""
-    orders = order_view(transactions)
-    fanned = _fan_out_to_grid(running_state(customer_days(orders)), orders, config)
-    return _per_category(_carry_state(fanned))
-
-
-def date_categories(transactions: DataFrame, score_date: str) -> DataFrame:
-    """The same measures at one score date, from strictly earlier orders only."""
+def _date_snapshots(transactions: DataFrame, score_date: str, config: RunConfig) -> DataFrame:
+    """The same rows at one score date, from strictly earlier orders only."""
     day = F.lit(score_date).cast("date")
     history = order_view(transactions).filter(F.col("order_date") < day)
-    states = running_state(customer_days(history))
-    recent = states.filter(
-        F.col("order_date") >= F.date_sub(day, fixed.LONG_WINDOW_DAYS)
-    ).withColumn("score_date", day)
-    return _per_category(_carry_state(recent))
+    latest = (
+        running_state(customer_days(history))
+        .filter(F.col("next_date").isNull())
+        .filter(F.col("orders_lifetime") >= config.min_history_orders)
+        .filter(F.col("order_date") >= F.date_sub(day, fixed.MAX_RECENCY_DAYS))
+    )
+    return _with_gap_stats(latest).withColumn("score_date", day)
+
+
+def _with_year(rows: DataFrame) -> DataFrame:
+    """Add ``year``, the purchases within the trailing year, and their sums ``total``;
+    ``bought`` lists each category with its orders, first and last purchase."""
+    year = f"filter(trailing, p -> p.order_date >= date_sub(score_date, {fixed.LONG_WINDOW_DAYS}))"
+    total = f"""aggregate(year,
+        named_struct('orders', 0L, 'mid', 0L, 'short', 0L, 'discounted', 0L, 'weekend', 0L,
+            'order_value', CAST(0 AS decimal(38,8)), 'margin', CAST(0 AS decimal(38,8))),
+        (t, p) -> named_struct(
+            'orders', t.orders + p.orders,
+            'mid', t.mid + if(p.order_date >= date_sub(score_date, {fixed.MID_WINDOW_DAYS}),
+                p.orders, 0L),
+            'short', t.short + if(p.order_date >= date_sub(score_date, {fixed.SHORT_WINDOW_DAYS}),
+                p.orders, 0L),
+            'discounted', t.discounted + p.discounted,
+            'weekend', t.weekend + if(weekday(p.order_date) >= 5, p.orders, 0L),
+            'order_value', CAST(t.order_value + p.order_value AS decimal(38,8)),
+            'margin', CAST(t.margin + p.margin AS decimal(38,8))))"""
+    # ``year`` is ordered by day, so the first match is a category's first purchase.
+    bought = """transform(array_distinct(transform(year, p -> p.category)), c -> aggregate(
+        filter(year, p -> p.category = c),
+        named_struct('negative', 0L, 'first_seen', CAST(NULL AS struct<day: date, id: string>),
+            'category', c, 'last_date', CAST(NULL AS date)),
+        (b, p) -> named_struct(
+            'negative', b.negative - p.orders,
+            'first_seen', coalesce(b.first_seen, named_struct('day', p.order_date,
+                'id', p.first_id)),
+            'category', c,
+            'last_date', p.order_date)))"""
+    return (
+        rows.withColumn("year", F.expr(year))
+        .withColumn("total", F.expr(total))
+        .withColumn("bought", F.expr(bought))
+    )
 
 
-def category_features(categories: DataFrame, config: RunConfig) -> DataFrame:
-    """Long form: orders, share and recency of each category bought in the window."""
-    snapshot = Window.partitionBy(*KEYS)
+def category_features(transactions: DataFrame, config: RunConfig) -> DataFrame:
+    """Long form on the grid: orders, share and recency of each category bought."""
     return (
-        categories.withColumn("total", F.sum("orders").over(snapshot))
-        .withColumn("lifetime", F.max("state.orders_lifetime").over(snapshot))
-        .filter(F.col("lifetime") >= config.min_history_orders)
+        _with_year(_grid_snapshots(transactions, config))
+        .select(*KEYS, "total", F.explode("bought").alias("bought"))
         .select(
             *KEYS,
-            "category",
-            F.col("orders").alias("category_orders_365d"),
-            (F.col("orders") / F.col("total")).alias("category_share_365d"),
-            F.datediff("score_date", "last_date").alias("category_recency_days"),
+            F.col("bought.category").alias("category"),
+            (-F.col("bought.negative")).alias("category_orders_365d"),
+            (-F.col("bought.negative") / F.col("total.orders")).alias("category_share_365d"),
+            F.datediff("score_date", "bought.last_date").alias("category_recency_days"),
         )
     )
 
 
-def _assemble(categories: DataFrame, config: RunConfig) -> DataFrame:
-    """One row per eligible snapshot with every feature (labels still inside ``state``)."""
-    wide = []
-    for index, name in enumerate(config.categories):
-        match = F.col("category") == name
-        wide.append(F.max(F.when(match, F.col("orders"))).alias(f"orders_{index}"))
-        wide.append(F.max(F.when(match, F.col("last_date"))).alias(f"last_{index}"))
-    grouped = (
-        categories.groupBy(*KEYS)
-        .agg(
-            F.first("state", ignorenulls=True).alias("state"),
-            F.sum("orders").alias("orders"),
-            F.coalesce(F.sum("orders_mid"), F.lit(0)).alias("orders_mid"),
-            F.coalesce(F.sum("orders_short"), F.lit(0)).alias("orders_short"),
-            F.sum("order_value").cast("double").alias("order_value"),
-            F.sum("margin").cast("double").alias("margin"),
-            F.sum("discounted").alias("discounted"),
-            F.coalesce(F.sum("weekend"), F.lit(0)).alias("weekend"),
-            F.count(F.lit(1)).alias("diversity"),
-            F.min(
-                F.struct((-F.col("orders")).alias("negative"), "first_seen", "category")
-            ).alias("favourite"),
-            *wide,
-        )
-        .filter(F.col("state.orders_lifetime") >= config.min_history_orders)
+def _features(snapshots: DataFrame, config: RunConfig, *others: Column) -> DataFrame:
+    """Every feature of each snapshot row, followed by ``others``."""
+    prepared = (
+        _with_year(snapshots)
+        .withColumn("favourite", F.array_min("bought"))
+        .withColumn("names", F.col("bought.category"))
+        .withColumn("recency_days", F.datediff("score_date", "order_date"))
+        .withColumn("tenure_days", F.datediff("score_date", "first_date"))
     )
-    recency = F.datediff("score_date", "state.last_date")
-    tenure = F.datediff("score_date", "state.first_date")
-    gap = F.col("state.gap_median")
+    recency, gap = F.col("recency_days"), F.col("typical_gap")
+    orders, mid = F.col("total.orders"), F.col("total.mid")
     columns: list[Column] = [
         F.col("customer_id"),
         F.col("score_date"),
-        F.col("state.channel").alias("acquisition_channel"),
-        F.col("state.region").alias("region"),
+        F.col("last.acquisition_channel"),
+        F.col("last.region"),
         E.lifecycle_segment(
-            tenure, F.col("state.orders_lifetime"), F.col("orders_mid"), recency, gap
+            F.col("tenure_days"), F.col("orders_lifetime"), mid, recency, gap
         ).alias("lifecycle_segment"),
-        F.col("state.last_category").alias("last_category"),
+        F.col("last_category"),
         F.col("favourite.category").alias("favorite_category"),
-        tenure.alias("customer_tenure_days"),
-        recency.alias("recency_days"),
-        F.col("state.orders_lifetime").alias("orders_lifetime"),
-        F.col("orders").alias("orders_365d"),
-        F.col("orders_mid").alias("orders_90d"),
-        F.col("orders_short").alias("orders_30d"),
-        E.order_momentum(F.col("orders_mid"), F.col("orders")).alias("order_momentum"),
-        (F.col("order_value") / F.col("orders")).alias("average_order_value_365d"),
-        F.col("margin").alias("total_margin_365d"),
-        (F.col("discounted") / F.col("orders")).alias("discount_share_365d"),
-        (F.col("weekend") / F.col("orders")).alias("weekend_share_365d"),
-        F.col("diversity").alias("category_diversity_365d"),
-        (-F.col("favourite.negative") / F.col("orders")).alias("favorite_category_share_365d"),
+        F.col("tenure_days").alias("customer_tenure_days"),
+        recency,
+        F.col("orders_lifetime"),
+        orders.alias("orders_365d"),
+        mid.alias("orders_90d"),
+        F.col("total.short").alias("orders_30d"),
+        E.order_momentum(mid, orders).alias("order_momentum"),
+        F.expr("CAST(total.order_value AS double) / total.orders AS average_order_value_365d"),
+        F.expr("CAST(total.margin AS double) AS total_margin_365d"),
+        F.expr("total.discounted / total.orders AS discount_share_365d"),
+        F.expr("total.weekend / total.orders AS weekend_share_365d"),
+        F.expr("CAST(size(bought) AS long) AS category_diversity_365d"),
+        F.expr("-favourite.negative / total.orders AS favorite_category_share_365d"),
         gap.alias("average_gap_days"),
-        F.col("state.gap_spread").alias("gap_variability_days"),
+        F.col("gap_spread").alias("gap_variability_days"),
         E.cadence_progress(recency, gap).alias("cadence_progress"),
-        F.col("state.last_value").alias("last_order_value"),
-        F.col("state.last_margin").alias("last_order_margin"),
+        F.col("last.order_value").alias("last_order_value"),
+        F.col("last.contribution_margin").alias("last_order_margin"),
         F.month("score_date").alias("score_month"),
         F.quarter("score_date").alias("score_quarter"),
     ]
-    for index, name in enumerate(config.categories):
+    for name in config.categories:
         key = name.lower()
-        bought = F.coalesce(F.col(f"orders_{index}"), F.lit(0))
+        at = F.array_position("names", name).cast("int")
+        entry = F.when(at > 0, F.element_at("bought", at))
+        share = F.coalesce(-entry["negative"], F.lit(0))
         columns += [
-            bought.alias(f"{key}_orders_365d"),
-            (bought / F.col("orders")).alias(f"{key}_share_365d"),
+            share.alias(f"{key}_orders_365d"),
+            (share / orders).alias(f"{key}_share_365d"),
             F.coalesce(
-                F.datediff("score_date", f"last_{index}"),
+                F.datediff("score_date", entry["last_date"]),
                 F.lit(fixed.ABSENT_CATEGORY_RECENCY),
             ).alias(f"{key}_recency_days"),
         ]
-    return grouped.select(*columns, "state")
+    return prepared.select(*columns, *others)
 
 
 def _labels(config: RunConfig) -> list[Column]:
-    days = F.datediff("state.next_date", "score_date")
+    days = F.datediff("next_date", "score_date")
     observed = F.coalesce(days <= config.target_horizon_days, F.lit(False))
     return [
         F.coalesce(days <= config.readiness_horizon_days, F.lit(False))
         .cast("int")
         .alias("purchase_within_30d"),
-        F.when(observed, F.col("state.next_category")).alias("next_category"),
+        F.when(observed, F.col("next_category")).alias("next_category"),
         F.when(observed, days).alias("days_to_next_purchase"),
     ]
 
 
 def labeled_snapshots(transactions: DataFrame, config: RunConfig) -> DataFrame:
     """Features strictly before, labels from each score date of the grid on."""
-    assembled = _assemble(grid_categories(transactions, config), config)
-    features = [c for c in assembled.columns if c != "state"]
-    return assembled.select(*features, *_labels(config))
+    return _features(_grid_snapshots(transactions, config), config, *_labels(config))
 
 
 def scoring_snapshot(transactions: DataFrame, score_date: str, config: RunConfig) -> DataFrame:
     """One unlabeled row per customer that is eligible at ``score_date``."""
-    return _assemble(date_categories(transactions, score_date), config).drop("state")
+    return _features(_date_snapshots(transactions, score_date, config), config)
 
 
 def feature_columns(snapshots: DataFrame) -> list[str]:

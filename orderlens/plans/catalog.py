@@ -290,9 +290,7 @@ def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def category_features_long(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshots.category_features(
-        snapshots.grid_categories(orders(spark, folder), RUN), RUN
-    )
+    return snapshots.category_features(orders(spark, folder), RUN)
 
 
 _WIDE = [
