@@ -16,9 +16,10 @@ def money(column: str) -> Column:
     return F.col(column).cast(MONEY)
 
 
-def is_weekend(day: Column) -> Column:
-    """Saturday or Sunday; ``weekday`` counts from Monday = 0."""
-    return F.weekday(day) >= 5
+def sql_text(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def median_of_sorted(values: Column) -> Column:

@@ -34,8 +34,12 @@ def _before_block(blocks: DataFrame, names: list[str], within: list[str]) -> Dat
 
 
 def global_rank(frame: DataFrame, order: list[Column], rank: str) -> DataFrame:
-    """Add the 1-based position of each row in a total order."""
-    ordered = frame.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Add the 1-based position of each row in a total order.
+
+    The input is staged first: choosing the range bounds reads it once and the shuffle
+    reads it again, and neither should repeat the work behind it.
+    """
+    ordered = stage(frame, "unranked").repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stage(ordered.withColumn("_place", F.monotonically_increasing_id()), "ranked")
     placed = placed.withColumn("_block", F.shiftright("_place", _BLOCK_BITS))
     sizes = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("rows"))

@@ -326,15 +326,17 @@ def _features(snapshots: DataFrame, config: RunConfig, *others: Column) -> DataF
     ]
     for name in config.categories:
         key = name.lower()
-        at = F.array_position("names", name).cast("int")
-        entry = F.when(at > 0, F.element_at("bought", at))
-        share = F.coalesce(-entry["negative"], F.lit(0))
+        entry = (
+            "try_element_at(bought, "
+            f"nullif(CAST(array_position(names, {E.sql_text(name)}) AS int), 0))"
+        )
+        bought = f"coalesce(-{entry}.negative, 0L)"
         columns += [
-            share.alias(f"{key}_orders_365d"),
-            (share / orders).alias(f"{key}_share_365d"),
-            F.coalesce(
-                F.datediff("score_date", entry["last_date"]),
-                F.lit(fixed.ABSENT_CATEGORY_RECENCY),
+            F.expr(bought).alias(f"{key}_orders_365d"),
+            F.expr(f"{bought} / total.orders").alias(f"{key}_share_365d"),
+            F.expr(
+                f"coalesce(datediff(score_date, {entry}.last_date), "
+                f"{fixed.ABSENT_CATEGORY_RECENCY})"
             ).alias(f"{key}_recency_days"),
         ]
     return prepared.select(*columns, *others)

@@ -46,11 +46,19 @@ def split_counts(snapshots: DataFrame, config: RunConfig) -> DataFrame:
 
 
 def leakage_audit(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows of two snapshot tables that are not shared; both counts 0 when nothing leaks."""
-    after = after.select(*before.columns)
-    vanished = before.exceptAll(after).select(F.lit(1).alias("vanished"), F.lit(0).alias("new"))
-    new = after.exceptAll(before).select(F.lit(0).alias("vanished"), F.lit(1).alias("new"))
-    return vanished.unionAll(new).agg(
-        F.coalesce(F.sum("vanished"), F.lit(0)).alias("vanished_rows"),
-        F.coalesce(F.sum("new"), F.lit(0)).alias("new_rows"),
+    """Rows of two snapshot tables that are not shared; both counts 0 when nothing leaks.
+
+    One multiset comparison: every distinct row is counted up for one table and down
+    for the other, so each table is computed once.
+    """
+    columns = before.columns
+    net = (
+        before.withColumn("_side", F.lit(1))
+        .unionByName(after.select(*columns).withColumn("_side", F.lit(-1)))
+        .groupBy(*columns)
+        .agg(F.sum("_side").alias("_net"))
+    )
+    return net.agg(
+        F.coalesce(F.sum(F.greatest(F.col("_net"), F.lit(0))), F.lit(0)).alias("vanished_rows"),
+        F.coalesce(F.sum(F.greatest(-F.col("_net"), F.lit(0))), F.lit(0)).alias("new_rows"),
     )
