@@ -20,20 +20,6 @@ def class_table(spark: SparkSession, classes: Classes) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def label_counts(labels: DataFrame, label: str, classes: Classes) -> DataFrame:
-    """Occurrences of each class among non-null labels, classes without any included."""
-    counted = (
-        labels.filter(F.col(label).isin(*classes))
-        .groupBy(F.col(label).alias("category"))
-        .agg(F.count(F.lit(1)).alias("orders"))
-    )
-    return (
-        class_table(labels.sparkSession, classes)
-        .join(counted, "category", "left")
-        .select("class_index", "category", F.coalesce("orders", F.lit(0)).alias("orders"))
-    )
-
-
 def popularity_table(labels: DataFrame, label: str, classes: Classes) -> DataFrame:
     """Share of each class among the labels that belong to the class list."""
     rows = F.col("listed")
@@ -59,11 +45,28 @@ def popularity_vector(labels: DataFrame, label: str, classes: Classes) -> Column
 
 
 def _collected_counts(labels: DataFrame, label: str, classes: Classes) -> DataFrame:
-    """One row: the counts of all classes in class order, and their total."""
-    return label_counts(labels, label, classes).agg(
-        F.array_sort(F.collect_list(F.struct("class_index", "category", "orders"))).alias("listed"),
-        F.sum("orders").alias("total"),
+    """One row: how often each class occurs, in class order, and the total.
+
+    Only classes of the list are collected, so the map has at most that many entries.
+    """
+    counted = (
+        labels.filter(F.col(label).isin(*classes))
+        .groupBy(F.col(label).alias("category"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("category", "orders"))).alias("counts"),
+            F.sum("orders").alias("total"),
+        )
     )
+    listed = [
+        F.struct(
+            F.lit(index).alias("class_index"),
+            F.lit(name).alias("category"),
+            F.coalesce(F.try_element_at("counts", F.lit(name)), F.lit(0)).alias("orders"),
+        )
+        for index, name in enumerate(classes)
+    ]
+    return counted.select(F.array(*listed).alias("listed"), "total")
 
 
 def _share(orders: Column, total: Column) -> Column:

@@ -16,15 +16,10 @@ from orderlens.scratch import stage
 _BLOCK_BITS = 33
 
 
-def _before_block(blocks: DataFrame, names: list[str], within: list[str]) -> DataFrame:
-    """Exclusive running sum of ``names`` over the block totals."""
-    earlier = (
-        Window.partitionBy(*within)
-        .orderBy("_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def _before_block(blocks: DataFrame, names: list[str]) -> DataFrame:
+    """Exclusive running sum of ``names`` over the block totals, one row per block."""
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     return blocks.select(
-        *within,
         "_block",
         *[
             F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}")
@@ -43,7 +38,7 @@ def global_rank(frame: DataFrame, order: list[Column], rank: str) -> DataFrame:
     placed = stage(ordered.withColumn("_place", F.monotonically_increasing_id()), "ranked")
     placed = placed.withColumn("_block", F.shiftright("_place", _BLOCK_BITS))
     sizes = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("rows"))
-    offsets = _before_block(sizes, ["rows"], [])
+    offsets = _before_block(sizes, ["rows"])
     within = F.col("_place").bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
     return (
         placed.join(F.broadcast(offsets), "_block")
@@ -62,7 +57,7 @@ def running_totals(frame: DataFrame, order: list[Column], names: list[str]) -> D
     )
     placed = stage(ranged, "running")
     totals = placed.groupBy("_block").agg(*[F.sum(name).alias(name) for name in names])
-    offsets = _before_block(totals, names, [])
+    offsets = _before_block(totals, names)
     up_to_here = (
         Window.partitionBy("_block")
         .orderBy(*order)
@@ -96,15 +91,14 @@ def grouped_median(frame: DataFrame, group: str, value: str, result: str) -> Dat
     )
     placed = stage(frequencies, "frequencies")
     blocks = placed.groupBy(group, "_block").agg(F.sum("rows").alias("rows"))
-    sizes = blocks.groupBy(group).agg(F.sum("rows").alias("_size"))
-    low = F.floor((F.col("_size") + 1) / 2).cast("long")
-    high = (F.floor(F.col("_size") / 2) + 1).cast("long")
+    whole = Window.partitionBy(group)
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.col("_size")
     middle = (
-        _before_block(blocks, ["rows"], [group])
-        .join(blocks, [group, "_block"])
-        .join(sizes, group)
-        .withColumn("_low", low)
-        .withColumn("_high", high)
+        blocks.withColumn("_before_rows", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+        .withColumn("_size", F.sum("rows").over(whole))
+        .withColumn("_low", F.floor((size + 1) / 2).cast("long"))
+        .withColumn("_high", (F.floor(size / 2) + 1).cast("long"))
         .filter(
             (F.col("_before_rows") < F.col("_high"))
             & (F.col("_before_rows") + F.col("rows") >= F.col("_low"))

@@ -33,44 +33,45 @@ def test_rule_names_are_complete(spark):
     assert names | {contract.DUPLICATE_RULE, contract.CASEFOLD_RULE} == set(contract.RULES)
 
 
-@pytest.mark.parametrize(
-    "rows,rule",
-    [
-        ([{"region": None}], "required_not_null"),
-        ([{"customer_id": "   "}], "customer_id_not_blank"),
-        ([{"order_id": " =1+1"}], "order_id_no_formula_prefix"),
-        ([{"category": "@x"}], "category_no_formula_prefix"),
-        ([{"order_id": "same"}, {"order_id": " same "}], "order_id_unique"),
-        ([{"category": "books"}, {}], "category_unique_after_folding"),
-        ([{"order_date": "-2024-01-01"}], "order_date_no_formula_prefix"),
-        ([{"order_date": "2024-01-01 00:00:00"}], "order_date_format"),
-        ([{"order_date": "2024-1-1"}], "order_date_format"),
-        ([{"order_date": "2023-02-29"}], "order_date_valid"),
-        ([{"order_value": "ten"}], "order_value_finite"),
-        ([{"order_value": "10d"}], "order_value_finite"),
-        ([{"contribution_margin": "inf"}], "contribution_margin_finite"),
-        ([{"contribution_margin": "1e999"}], "contribution_margin_finite"),
-        ([{"used_discount": "True"}], "used_discount_finite"),
-        ([{"order_value": "-0.01"}], "order_value_not_negative"),
-        ([{"used_discount": "0.5"}], "used_discount_binary"),
-    ],
-)
-def test_each_rule_rejects(spark, rows, rule):
-    table = raw(spark, *rows, {})
-    broken = {
-        r["rule"] for r in contract.contract_report(table).filter("violations > 0").collect()
+BROKEN = [
+    ({"region": None}, ["required_not_null"]),
+    ({"customer_id": "   "}, ["customer_id_not_blank"]),
+    ({"order_id": " =1+1"}, ["order_id_no_formula_prefix"]),
+    ({"category": "@x"}, ["category_no_formula_prefix"]),
+    ({"order_id": "same"}, ["order_id_unique"]),
+    ({"order_id": " same "}, ["order_id_unique"]),
+    ({"category": "books"}, ["category_unique_after_folding"]),
+    ({"order_date": "-2024-01-01"}, ["order_date_no_formula_prefix", "order_date_format"]),
+    ({"order_date": "2024-01-01 00:00:00"}, ["order_date_format"]),
+    ({"order_date": "2024-1-1"}, ["order_date_format"]),
+    ({"order_date": "2023-02-29"}, ["order_date_valid"]),
+    ({"order_value": "ten"}, ["order_value_finite"]),
+    ({"order_value": "10d"}, ["order_value_finite"]),
+    ({"contribution_margin": "inf"}, ["contribution_margin_finite"]),
+    ({"contribution_margin": "1e999"}, ["contribution_margin_finite"]),
+    ({"used_discount": "True"}, ["used_discount_finite"]),
+    ({"order_value": "-0.01"}, ["order_value_not_negative"]),
+    ({"used_discount": "0.5"}, ["used_discount_binary"]),
+    ({}, []),
+]
+
+
+def test_each_rule_rejects_its_rows(spark):
+    marked = [
+        change | {"acquisition_channel": f"case{i}"} for i, (change, _) in enumerate(BROKEN)
+    ]
+    table = raw(spark, *marked)
+    found = {
+        r["acquisition_channel"]: r["violations"]
+        for r in contract.with_violations(table).collect()
     }
-    # A date with a formula prefix has the wrong shape as well.
-    extra = {"order_date_format"} if rule == "order_date_no_formula_prefix" else set()
-    assert broken == {rule} | extra
-    with pytest.raises(ContractError, match=rule):
-        contract.require_valid(table)
+    assert found == {f"case{i}": rules for i, (_, rules) in enumerate(BROKEN)}
+    report = {r["rule"]: r["violations"] for r in contract.contract_report(table).collect()}
+    assert list(report) and set(report) == set(contract.RULES)
+    for rule in contract.RULES:
+        assert report[rule] == sum(rule in rules for _, rules in BROKEN), rule
     valid, rejected = contract.quarantine(table)
-    assert valid.count() + rejected.count() == len(rows) + 1
-    assert {v for r in rejected.collect() for v in r["violations"]} == broken
-    contract.require_valid(
-        valid.select(*[F.col(c).cast("string").alias(c) for c in valid.columns])
-    )
+    assert (valid.count(), rejected.count()) == (1, len(BROKEN) - 1)
 
 
 def test_first_rule_in_order_is_reported(spark):
@@ -160,24 +161,33 @@ def test_good_manifest_passes_and_extra_fields_are_dropped(spark):
     assert provenance.require_provenance(table).first().asDict() == MANIFEST
 
 
-@pytest.mark.parametrize(
-    "change,rule",
-    [
-        ({"schema_version": "2.0"}, "schema_version_supported"),
-        ({"schema_version": 1.0}, "schema_version_supported"),
-        ({"source_name": "  "}, "source_name_not_blank"),
-        ({"source_name": None}, "source_name_not_blank"),
-        ({"source_type": 7}, "source_type_not_blank"),
-        ({"license_or_authorization": " @x"}, "license_or_authorization_no_formula_prefix"),
-        ({"identifiers_pseudonymized": False}, "identifiers_pseudonymized"),
-        ({"identifiers_pseudonymized": "true"}, "identifiers_pseudonymized"),
-        ({"contains_direct_identifiers": True}, "no_direct_identifiers"),
-        ({"contains_direct_identifiers": None}, "no_direct_identifiers"),
-    ],
-)
-def test_manifest_rules(spark, change, rule):
-    with pytest.raises(ContractError, match=rule):
-        provenance.require_provenance(manifest_rows(spark, MANIFEST, MANIFEST | change))
+BAD_MANIFESTS = [
+    ({"schema_version": "2.0"}, "schema_version_supported"),
+    ({"schema_version": 1.0}, "schema_version_supported"),
+    ({"source_name": "  "}, "source_name_not_blank"),
+    ({"source_name": None}, "source_name_not_blank"),
+    ({"source_type": 7}, "source_type_not_blank"),
+    ({"license_or_authorization": " @x"}, "license_or_authorization_no_formula_prefix"),
+    ({"identifiers_pseudonymized": False}, "identifiers_pseudonymized"),
+    ({"identifiers_pseudonymized": "true"}, "identifiers_pseudonymized"),
+    ({"contains_direct_identifiers": True}, "no_direct_identifiers"),
+    ({"contains_direct_identifiers": None}, "no_direct_identifiers"),
+]
+
+
+def test_manifest_rules(spark):
+    table = manifest_rows(spark, MANIFEST, *[MANIFEST | change for change, _ in BAD_MANIFESTS])
+    failed = (
+        provenance.provenance_report(table)
+        .filter("not passed")
+        .groupBy("file")
+        .agg(F.min_by("rule", "position").alias("first"))
+    )
+    assert {r["file"]: r["first"] for r in failed.collect()} == {
+        f"m{i}": rule for i, (_, rule) in enumerate(BAD_MANIFESTS, start=1)
+    }
+    with pytest.raises(ContractError, match="m1: schema_version_supported"):
+        provenance.require_provenance(table)
 
 
 def test_incomplete_or_broken_manifests(spark):
