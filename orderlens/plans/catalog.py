@@ -31,7 +31,7 @@ from orderlens.sources.tables import TRANSACTION_COLUMNS, read_table, transactio
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Run parameters for the dates and categories of the given tables. Six boosting rounds
+# Run parameters for the dates and categories of the given tables. Three boosting rounds
 # keep the registered model queries short; the default of a real run is RunConfig's 180.
 RUN = RunConfig(
     snapshot_start="1997-01-01",
@@ -40,7 +40,7 @@ RUN = RunConfig(
     test_start="2000-09-01",
     scoring_date="2001-06-01",
     categories=("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"),
-    boosting_rounds=6,
+    boosting_rounds=3,
 )
 SCAN_PATTERNS = {
     **content_scan.DEFAULT_PATTERNS,

@@ -123,7 +123,8 @@ def score_supplied_history(
     unless every rule of the contract holds.
     """
     manifest = provenance.require_provenance(files.read_provenance(spark, provenance_path))
-    raw = files.read_transactions_csv(spark, transactions_path)
+    # The text is parsed once; every check then reads only the columns it needs.
+    raw = stage(files.read_transactions_csv(spark, transactions_path), "supplied")
     transactions, checks_passed = contract.require_valid(raw)
     day = checked_score_date(score_date)
     transactions = stage(transactions, "transactions")
