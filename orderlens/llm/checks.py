@@ -181,7 +181,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND coalesce(char_distance, 0) <= 0.3 AND coalesce(word_distance, 0) <= 0.6 AS kept
+         AND coalesce(char_distance, 0) <= 0.3 AND coalesce(word_distance, 0) <= 0.45 AS kept
 FROM judged
 """
 

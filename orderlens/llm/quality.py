@@ -24,7 +24,7 @@ COMMON_WORDS = 24
 MIN_WORDS = 50
 MIN_CHARS = 200
 MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.60
+MAX_WORD_DISTANCE = 0.45
 MAX_REPEAT_PERCENT = 50
 # Character classes by pattern; whatever no pattern takes is the last class (other letters).
 CLASSES = ("[a-z]", "[A-Z]", "[0-9]", "[\\x20\\x09-\\x0D]", "[.,;:!?'\"()\\-]", "[#*$%&|<>/\\\\=+_@{}~^`\\[\\]]")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, mixing, quality, sharding, url_lists
+from orderlens.llm import chat, mixing, quality, sharding, substring, url_lists
 from orderlens.llm.common import text_crc32, word_count
 from orderlens.scratch import stage
 from orderlens.sources.tables import read_table
@@ -89,6 +89,11 @@ def list_entries(pages: DataFrame) -> DataFrame:
     return watch[0].unionByName(watch[1]).unionByName(partners)
 
 
+def op6_super_kmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return substring.remove_repeats(docs, stage, with_text=False).drop("kept_text")
+
+
 def op7_temporal_list_join(spark: SparkSession, folder: str) -> DataFrame:
     pages = captures(spark, folder)
     return url_lists.judge_captures(pages, list_entries(pages)).select(
@@ -120,6 +125,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sampled_splitters": op1_sampled_splitters,
         "op3_perspective_rotation": op3_perspective_rotation,
+        "op6_super_kmer_dedup": op6_super_kmer_dedup,
         "op7_temporal_list_join": op7_temporal_list_join,
         "op9_mixing_tree": op9_mixing_tree,
         "op10_distribution_divergence": op10_distribution_divergence,
