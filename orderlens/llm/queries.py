@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, mixing, quality, sharding, substring, url_lists
+from orderlens.llm import chat, mixing, ngram_join, quality, sharding, substring, url_lists
 from orderlens.llm.common import text_crc32, word_count
 from orderlens.scratch import stage
 from orderlens.sources.tables import read_table
@@ -42,6 +42,11 @@ def op1_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_multi_order_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return ngram_join.similar_groups(docs, stage).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
     rendered = chat.render(read_table(spark, folder, "conversations"))
     shown = F.transform("spans", lambda span: F.concat_ws("-", span["start"], span["end"]))
@@ -124,6 +129,7 @@ def op10_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_sampled_splitters": op1_sampled_splitters,
+        "op2_multi_order_jaccard": op2_multi_order_jaccard,
         "op3_perspective_rotation": op3_perspective_rotation,
         "op6_super_kmer_dedup": op6_super_kmer_dedup,
         "op7_temporal_list_join": op7_temporal_list_join,
