@@ -113,10 +113,16 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-_CLASSES = ("[a-z]", "[A-Z]", "[0-9]", "[\\x20\\x09-\\x0D]", "[.,;:!?''\"()\\-]", "[#*$%&|<>/\\\\=+_@{}~^`\\[\\]]")
+_CLASSES = ("[#*$%&|<>]", "[A-Z]", "[0-9]", "[.,;:!?''\"()\\-]")
 _CLASS_LIST = ", ".join(
     f"length(body) - length(regexp_replace(body, '{pattern}', '', 'g'))" for pattern in _CLASSES
 )
+_LISTED = """
+  ('de', ['der', 'die', 'und', 'das', 'ist', 'zu', 'den', 'mit', 'ein', 'nicht', 'eine', 'für']),
+  ('en', ['the', 'of', 'and', 'to', 'in', 'a', 'is', 'that', 'for', 'it', 'was', 'with']),
+  ('es', ['de', 'la', 'que', 'el', 'en', 'y', 'los', 'se', 'del', 'las', 'por', 'un']),
+  ('fr', ['de', 'la', 'le', 'et', 'les', 'des', 'en', 'un', 'du', 'une', 'que', 'est'])
+"""
 
 
 def _distance(left: str, right: str) -> str:
@@ -131,17 +137,7 @@ _QUALITY = f"""
 WITH numbered AS (
   SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS body, {_WORDS} AS w
   FROM documents),
-spoken AS (
-  SELECT lang, word, count(*) AS n
-  FROM (SELECT lang, lower(unnest(w)) AS word FROM numbered) GROUP BY lang, word),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place,
-         sum(n) OVER (PARTITION BY lang) AS total
-  FROM spoken),
-top AS (
-  SELECT lang, list(word ORDER BY place) AS common,
-         list_append(list(n / total ORDER BY place), 1 - sum(n) / max(total)) AS common_share
-  FROM ranked WHERE place <= 24 GROUP BY lang),
+top(lang, common) AS (VALUES {_LISTED}),
 windows AS (
   SELECT row_id, pos, (w[pos], w[pos + 1], w[pos + 2]) AS triple
   FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS pos FROM numbered)),
@@ -158,22 +154,33 @@ counted AS (
          len(list_filter(string_split(body, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')))
          - len(list_distinct(list_filter(string_split(body, chr(10)),
                 lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
-         [{_CLASS_LIST}] AS classes,
-         list_transform(t.common, lambda c: len(list_filter(w, lambda x: lower(x) = c))) AS found, t.common_share
+         [{_CLASS_LIST},
+          length(body) - coalesce(list_sum(list_transform(w, lambda x: length(x))), 0),
+          strlen(body) - length(body)] AS classes,
+         list_transform(coalesce(t.common, []), lambda c: len(list_filter(w, lambda x: x = c))) AS found
   FROM numbered n LEFT JOIN top t ON n.lang IS NOT DISTINCT FROM t.lang),
 shaped AS (
-  SELECT *, list_append(classes, n_chars - list_sum(classes)) AS class_counts,
-         list_append(found, n_words - list_sum(found)) AS word_counts
+  SELECT *, list_append(classes, greatest(0, n_chars - list_sum(classes))) AS class_counts,
+         list_append(found, n_words - coalesce(list_sum(found), 0)) AS word_counts
   FROM counted),
+class_sums AS (
+  SELECT lang, pos, sum(class_counts[pos]) AS n
+  FROM (SELECT lang, class_counts, unnest(range(1, 8)) AS pos FROM shaped) GROUP BY lang, pos),
+word_sums AS (
+  SELECT lang, pos, sum(word_counts[pos]) AS n
+  FROM (SELECT lang, word_counts, unnest(range(1, len(word_counts) + 1)) AS pos FROM shaped)
+  GROUP BY lang, pos),
 shares AS (
-  SELECT lang, list(share ORDER BY pos) AS class_share FROM (
-    SELECT lang, pos, sum(class_counts[pos]) / greatest(sum(n_chars), 1) AS share
-    FROM (SELECT lang, n_chars, class_counts, unnest(range(1, 8)) AS pos FROM shaped)
-    GROUP BY lang, pos) GROUP BY lang),
+  SELECT c.lang, c.class_share, w.common_share
+  FROM (SELECT lang, list(n / greatest(total, 1) ORDER BY pos) AS class_share FROM (
+          SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM class_sums) GROUP BY lang) c
+  JOIN (SELECT lang, list(n / greatest(total, 1) ORDER BY pos) AS common_share FROM (
+          SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM word_sums) GROUP BY lang) w
+    ON c.lang IS NOT DISTINCT FROM w.lang),
 judged AS (
   SELECT s.*, coalesce(c.n_repeat_words, 0) AS n_repeat_words,
-         CASE WHEN n_chars >= 200 THEN {_distance('list_transform(class_counts, lambda x: x / n_chars)', 'class_share')} END AS char_distance,
-         CASE WHEN n_words >= 50 THEN {_distance('list_transform(word_counts, lambda x: x / n_words)', 'common_share')} END AS word_distance
+         CASE WHEN n_chars >= 200 THEN {_distance('list_transform(class_counts, lambda x: x / list_sum(class_counts))', 'class_share')} END AS char_distance,
+         CASE WHEN n_words >= 50 AND len(found) > 0 THEN {_distance('list_transform(word_counts, lambda x: x / n_words)', 'common_share')} END AS word_distance
   FROM shaped s JOIN shares h ON s.lang IS NOT DISTINCT FROM h.lang
   LEFT JOIN covered c ON s.row_id = c.row_id)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
@@ -181,7 +188,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND coalesce(char_distance, 0) <= 0.3 AND coalesce(word_distance, 0) <= 0.45 AS kept
+         AND coalesce(char_distance, 0) <= 0.25 AND coalesce(word_distance, 0) <= 0.45 AS kept
 FROM judged
 """
 

@@ -14,7 +14,7 @@ BREAK_PATTERN = "[\\x20\\x09-\\x0D]+"
 def words(text: Column) -> Column:
     """Words of a text in order; an empty array for NULL."""
     pieces = F.split(F.coalesce(text, F.lit("")), BREAK_PATTERN)
-    return F.filter(pieces, lambda piece: piece != "")
+    return F.array_remove(pieces, "")
 
 
 def word_count(text: Column) -> Column:

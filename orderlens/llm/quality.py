@@ -1,61 +1,119 @@
 """Quality rules by divergence from the references of a document's language.
 
-A document is described by two histograms: its character classes and how often it uses the
-most common words of its language. The references are the same histograms over all documents
-of that language. A document fails when its Jensen-Shannon distance (base 2, in [0, 1]) to
-the reference is above a limit; each test applies from a minimum length on, because short
+A document is described by two histograms: its character classes, and how often it uses each of
+the common function words of its language. The references are the same histograms over
+all documents of that language. A document fails when its Jensen-Shannon distance (base 2, in
+[0, 1]) to a reference is above a limit; each test applies from a minimum length on, because short
 texts are far from any reference by chance.
 
-Everything is built-in expressions. Word frequencies combine on the map side; per document only
-expressions over its own text are used, all of them linear or n log n in its length.
+Everything is built-in expressions over a document's own text, linear or n log n in its length;
+the references are one aggregation with map-side combine.
 
-Edge cases: NULL text counts as empty; NULL language is a language of its own; an empty table
-gives an empty result; repeated rows are judged alike; other columns are not returned.
+Edge cases: NULL text counts as empty; NULL is a language of its own; a language without listed words
+has no word test; an empty table gives an empty result; repeated rows are judged alike; other
+columns are not returned.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import string
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import let, words
+from orderlens.llm.common import BREAKS, let, words
 
-COMMON_WORDS = 24
 MIN_WORDS = 50
 MIN_CHARS = 200
-MAX_CHAR_DISTANCE = 0.30
+MAX_CHAR_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 MAX_REPEAT_PERCENT = 50
-# Character classes by pattern; whatever no pattern takes is the last class (other letters).
-CLASSES = ("[a-z]", "[A-Z]", "[0-9]", "[\\x20\\x09-\\x0D]", "[.,;:!?'\"()\\-]", "[#*$%&|<>/\\\\=+_@{}~^`\\[\\]]")
-SYMBOLS = "#*$%&|<>"
+SHORT_LIST = 24
+# Character classes: a mark and the characters that it stands for. Blanks, bytes beyond the first
+# of a character (accented letters) and the rest (lower-case letters) are counted without marks.
+CLASSES = (
+    ("#", "#*$%&|<>"),
+    ("A", string.ascii_uppercase),
+    ("0", string.digits),
+    (".", ".,;:!?'\"()-"),
+)
+# Function words whose shares make the word histogram, per language code.
+COMMON_WORDS = {
+    "de": ("der", "die", "und", "das", "ist", "zu", "den", "mit", "ein", "nicht", "eine", "für"),
+    "en": ("the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "was", "with"),
+    "es": ("de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "por", "un"),
+    "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est"),
+}
+
+
+def class_marks(text: Column) -> Column:
+    """The text with marked characters replaced by their mark and lower-case letters dropped.
+
+    One pass without regular expressions; several patterns in one task slow each other down.
+    """
+    marked = "".join(characters for _, characters in CLASSES)
+    marks = "".join(mark * len(characters) for mark, characters in CLASSES)
+    return F.translate(text, marked + string.ascii_lowercase, marks)
 
 
-def _count(text: Column, pattern: str) -> Column:
-    negated = f"[^{pattern[1:]}"
-    return F.length(F.regexp_replace(text, f"{negated}+", "")).cast("long")
+def _count(marks: Column, mark: str) -> Column:
+    return (F.length(marks) - F.length(F.replace(marks, F.lit(mark), F.lit("")))).cast("long")
 
 
-def repeated_words(tokens: Column) -> Column:
-    """Words that lie in a three-word window found at least twice in the text."""
-    windows = F.transform(
-        F.slice(tokens, 1, F.greatest(F.size(tokens) - 2, F.lit(0))),
-        lambda word, at: F.struct(
-            F.xxhash64(word, F.get(tokens, at + 1), F.get(tokens, at + 2)).alias("hash"),
-            at.alias("at"),
-        ),
-    )
+def _windows(tokens: Column, with_place: bool) -> Column:
+    """Hash of every three-word window, with its place if asked for."""
+
+    def window(word: Column, at: Column) -> Column:
+        value = F.xxhash64(word, F.get(tokens, at + 1), F.get(tokens, at + 2))
+        return F.struct(value.alias("hash"), at.alias("at")) if with_place else value
+
+    return F.transform(F.slice(tokens, 1, F.greatest(F.size(tokens) - 2, F.lit(0))), window)
+
+
+def _places_by_sorting(tokens: Column) -> Column:
+    """Places of windows that occur twice: sorted by hash, they have an equal neighbour."""
 
     def repeated(ordered: Column) -> Column:
         def same(other: Column, one: Column) -> Column:
             return F.coalesce(other["hash"] == one["hash"], F.lit(False))
 
-        return F.filter(
+        found = F.filter(
             ordered,
             lambda one, at: same(F.get(ordered, at - 1), one) | same(F.get(ordered, at + 1), one),
         )
+        return F.sort_array(F.transform(found, lambda one: one["at"]))
 
-    places = F.sort_array(F.transform(let(F.sort_array(windows), repeated), lambda one: one["at"]))
+    return let(F.sort_array(_windows(tokens, True)), repeated)
+
+
+def repeated_words(tokens: Column) -> Column:
+    """Words that lie in a three-word window found at least twice in the text.
+
+    Three ways to the same places: none if all hashes differ; a search in the list of repeated
+    hashes while that is short; else sorting. What is used inside a lambda is bound by ``let``, or it
+    would be computed again for each element.
+    """
+    no_places = F.array().cast("array<int>")
+
+    def repeats(ordered: Column) -> Column:
+        return F.array_distinct(F.filter(ordered, lambda one, at: one == F.get(ordered, at - 1)))
+
+    def places_of(bound: Column, hashes: Column) -> Column:
+        def listed(twice: Column) -> Column:
+            marked = F.transform(
+                hashes, lambda one, at: F.when(F.array_contains(twice, one), at)
+            )
+            return F.when(F.size(twice) <= SHORT_LIST, F.array_compact(marked)).otherwise(
+                _places_by_sorting(bound)
+            )
+
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), no_places).otherwise(
+            let(let(F.sort_array(hashes), repeats), listed)
+        )
+
+    places = let(
+        tokens, lambda bound: let(_windows(bound, False), lambda hashes: places_of(bound, hashes))
+    )
     none = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("covered"))
     return F.aggregate(
         places,
@@ -70,35 +128,16 @@ def repeated_words(tokens: Column) -> Column:
 
 def duplicate_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
+    lines = F.filter(F.split(text, "\n", -1), lambda line: F.trim(line, F.lit(BREAKS)) != "")
     return let(lines, lambda kept: F.size(kept) - F.size(F.array_distinct(kept))).cast("long")
 
 
-def common_words(docs: DataFrame, count: int = COMMON_WORDS) -> DataFrame:
-    """The ``count`` most frequent words of each language: (lang, common, common_share).
-
-    Words are lower-cased; a tie goes to the smaller word. ``common_share`` has the share
-    of each of them in all words of the language, then the share of the rest.
-    """
-    spoken = docs.select("lang", F.explode(words(F.lower("text"))).alias("word"))
-    counted = spoken.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = (
-        counted.withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= count)
-        .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
-    )
-    share = F.transform("top", lambda one: one["n"] / F.col("total"))
-    rest = F.lit(1.0) - F.aggregate("top", F.lit(0).cast("long"), lambda a, x: a + x["n"]) / F.col(
-        "total"
-    )
-    return top.join(totals, top["lang"].eqNullSafe(totals["lang"])).select(
-        top["lang"],
-        F.col("top")["word"].alias("common"),
-        F.concat(share, F.array(rest)).alias("common_share"),
-    )
+def common_words(lang: Column) -> Column:
+    """The listed words of a language; none for other languages."""
+    listed = F.when(F.lit(False), F.array().cast("array<string>"))
+    for code, some in COMMON_WORDS.items():
+        listed = listed.when(lang == code, F.array(*[F.lit(word) for word in some]))
+    return F.coalesce(listed, F.array().cast("array<string>"))
 
 
 def jensen_shannon(left: Column, right: Column) -> Column:
@@ -115,57 +154,79 @@ def jensen_shannon(left: Column, right: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), (half(left, right) + half(right, left)) / 2))
 
 
-def measures(docs: DataFrame, common: DataFrame) -> DataFrame:
+def measures(docs: DataFrame) -> DataFrame:
     """Base counts and the two histograms of every document, without its text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select("doc_id", "lang", text.alias("text"), words(F.col("text")).alias("words"))
-    listed = common.select(F.col("lang").alias("common_lang"), "common")
-    known = split.join(listed, split["lang"].eqNullSafe(listed["common_lang"]), "left")
-    classes = [_count(F.col("text"), pattern) for pattern in CLASSES]
-    places = F.filter(
-        F.transform("words", lambda word: F.array_position("common", F.lower(word)).cast("int")),
-        lambda place: place > 0,
+    split = docs.select(
+        "doc_id",
+        "lang",
+        text.alias("text"),
+        words(F.col("text")).alias("words"),
+        class_marks(text).alias("marks"),
+        common_words(F.col("lang")).alias("common"),
     )
-    counted = known.select(
+    listed = [f"listed_{at}" for at in range(max(len(some) for some in COMMON_WORDS.values()))]
+    counted = split.select(
         "doc_id",
         "lang",
         "common",
         F.size("words").cast("long").alias("n_words"),
         F.length("text").cast("long").alias("n_chars"),
-        F.array(*classes).alias("classes"),
-        places.alias("places"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        *[_count(F.col("marks"), mark).alias(f"class_{at}") for at, (mark, _) in enumerate(CLASSES)],
+        (F.octet_length("text") - F.length("text")).cast("long").alias("n_beyond"),
+        *[
+            (F.size("words") - F.size(F.array_remove("words", F.get("common", F.lit(at)))))
+            .cast("long")
+            .alias(name)
+            for at, name in enumerate(listed)
+        ],
         duplicate_lines(F.col("text")).alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
     )
-    found = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("common"), F.lit(1))),
-        lambda place: (F.size("places") - F.size(F.array_remove("places", place))).cast("long"),
-    )
-    taken = F.aggregate("classes", F.lit(0).cast("long"), lambda total, n: total + n)
+    blanks = F.col("n_chars") - F.col("word_chars")
+    found = [F.col(f"class_{at}") for at in range(len(CLASSES))]
+    known = [*found, blanks, F.col("n_beyond")]
+    used = [F.when(F.size("common") > at, F.col(name)).otherwise(F.lit(0)) for at, name in enumerate(listed)]
+    rest = F.greatest(F.lit(0), F.col("n_chars") - sum(known[1:], known[0]))
+    others = F.greatest(F.lit(0), F.col("n_words") - sum(used[1:], used[0]))
     return counted.select(
         "doc_id",
         "lang",
         "n_words",
         "n_chars",
-        (F.col("n_chars") - F.get("classes", F.lit(3))).alias("word_chars"),
-        "n_symbols",
+        "word_chars",
+        found[0].alias("n_symbols"),
         "n_dup_lines",
         "n_repeat_words",
-        F.concat("classes", F.array(F.col("n_chars") - taken)).alias("class_counts"),
-        F.concat(found, F.array(F.col("n_words") - F.size("places"))).alias("word_counts"),
+        F.array(*known, rest).alias("class_counts"),
+        F.concat(F.slice(F.array(*used), 1, F.size("common")), F.array(others)).alias("word_counts"),
     )
 
 
-def class_reference(measured: DataFrame) -> DataFrame:
-    """Share of each character class in all text of a language."""
-    places = range(len(CLASSES) + 1)
-    sums = measured.groupBy("lang").agg(
-        F.sum("n_chars").alias("total"),
-        *[F.sum(F.get("class_counts", F.lit(at))).alias(f"class_{at}") for at in places],
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda total, n: total + n)
+
+
+def references(measured: DataFrame) -> DataFrame:
+    """Per language, the share of each character class and of each listed word in all its text."""
+
+    def sums(name: str, length: int) -> list[Column]:
+        return [F.sum(F.get(name, F.lit(at))).alias(f"{name}_{at}") for at in range(length)]
+
+    n_classes = len(CLASSES) + 3
+    n_listed = 1 + max(len(some) for some in COMMON_WORDS.values())
+    held = measured.groupBy("lang").agg(*sums("class_counts", n_classes), *sums("word_counts", n_listed))
+
+    def shares(name: str, length: int) -> Column:
+        parts = F.filter(F.array(*[F.col(f"{name}_{at}") for at in range(length)]), F.isnotnull)
+        return let(parts, lambda all_of: F.transform(all_of, lambda n: n / F.greatest(_total(all_of), F.lit(1))))
+
+    return held.select(
+        F.col("lang").alias("of_lang"),
+        shares("class_counts", n_classes).alias("class_share"),
+        shares("word_counts", n_listed).alias("common_share"),
     )
-    shares = F.array(*[F.col(f"class_{at}") / F.greatest("total", F.lit(1)) for at in places])
-    return sums.select("lang", shares.alias("class_share"))
 
 
 def judge(docs: DataFrame, stage) -> DataFrame:
@@ -173,29 +234,22 @@ def judge(docs: DataFrame, stage) -> DataFrame:
 
     ``stage`` writes a table once and returns its reader.
     """
-    common = stage(common_words(docs), "common-words")
-    measured = stage(measures(docs, common), "quality-measures")
-    references = (
-        class_reference(measured)
-        .withColumnRenamed("lang", "of_lang")
-        .join(
-            common.select(F.col("lang").alias("common_lang"), "common_share"),
-            F.col("of_lang").eqNullSafe(F.col("common_lang")),
-            "left",
-        )
-    )
-    known = measured.join(references, measured["lang"].eqNullSafe(F.col("of_lang")), "left")
+    measured = stage(measures(docs), "quality-measures")
+    known = measured.join(references(measured), F.col("lang").eqNullSafe(F.col("of_lang")), "left")
 
-    def share(counts: str, total: str) -> Column:
-        return F.transform(counts, lambda n: n / F.greatest(F.col(total), F.lit(1)))
+    def share(counts: str) -> Column:
+        return let(
+            F.col(counts),
+            lambda bound: F.transform(bound, lambda n: n / F.greatest(_total(bound), F.lit(1))),
+        )
 
     char_distance = F.when(
         F.col("n_chars") >= MIN_CHARS,
-        jensen_shannon(share("class_counts", "n_chars"), F.col("class_share")),
+        jensen_shannon(share("class_counts"), F.col("class_share")),
     )
     word_distance = F.when(
-        F.col("n_words") >= MIN_WORDS,
-        jensen_shannon(share("word_counts", "n_words"), F.col("common_share")),
+        (F.col("n_words") >= MIN_WORDS) & (F.size("word_counts") > 1),
+        jensen_shannon(share("word_counts"), F.col("common_share")),
     )
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
