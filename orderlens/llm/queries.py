@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, mixing, ngram_join, quality, sharding, substring, url_lists
+from orderlens.llm import (
+    chat,
+    decontam,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    sharding,
+    substring,
+    toxicity,
+    url_lists,
+)
 from orderlens.llm.common import text_crc32, word_count
 from orderlens.scratch import stage
 from orderlens.sources.tables import read_table
@@ -94,6 +105,16 @@ def list_entries(pages: DataFrame) -> DataFrame:
     return watch[0].unionByName(watch[1]).unionByName(partners)
 
 
+def op4_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, folder, "documents"), stage)
+
+
+def op5_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    ).drop("row_key")
+
+
 def op6_super_kmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return substring.remove_repeats(docs, stage, with_text=False).drop("kept_text")
@@ -106,6 +127,33 @@ def op7_temporal_list_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_categories() -> dict:
+    """The chain over the given labels; the last two are the toxicity categories proper."""
+    toxic = F.col("toxic") == 1
+    return {
+        "low_quality": F.col("quality") == 0,
+        "toxic_low_quality": toxic & (F.col("quality") == 0),
+        "toxic": toxic,
+    }
+
+
+REJECT_ON = ("toxic",)
+
+
+def op8_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    chain = toxicity.fit_chain(
+        docs, read_table(spark, folder, "labels"), toxicity_categories(), stage
+    )
+    scored = toxicity.score(docs, chain)
+    shown = [
+        F.round(F.get("probabilities", F.lit(at)), 6).alias(f"p_{name}")
+        for at, name in enumerate(toxicity_categories())
+    ]
+    toxic = F.array_contains("reported", F.lit(REJECT_ON[0])).alias("toxic")
+    return scored.select("doc_id", *shown, toxic)
+
+
 def op9_mixing_tree(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     sized = stage(
@@ -131,8 +179,11 @@ def queries() -> dict[str, Query]:
         "op1_sampled_splitters": op1_sampled_splitters,
         "op2_multi_order_jaccard": op2_multi_order_jaccard,
         "op3_perspective_rotation": op3_perspective_rotation,
+        "op4_line_chunks": op4_line_chunks,
+        "op5_template_decontamination": op5_template_decontamination,
         "op6_super_kmer_dedup": op6_super_kmer_dedup,
         "op7_temporal_list_join": op7_temporal_list_join,
+        "op8_classifier_chain": op8_classifier_chain,
         "op9_mixing_tree": op9_mixing_tree,
         "op10_distribution_divergence": op10_distribution_divergence,
     }
