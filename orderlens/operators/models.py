@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
@@ -17,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.config import RunConfig
+from orderlens.config import EARLY_STOPPING_SHARE, RunConfig
 from orderlens.operators.snapshots import CATEGORICAL_FEATURES
 from orderlens.scratch import shared_folder, stage
 
@@ -38,7 +39,7 @@ def numeric_stages(features: list[str]) -> list:
     names = numeric_names(features)
     filled = [f"{name}_filled" for name in names]
     return [
-        Imputer(strategy="median", inputCols=names, outputCols=filled),
+        Imputer(strategy="median", inputCols=names, outputCols=filled, relativeError=0.0),
         VectorAssembler(inputCols=filled, outputCol="numeric_filled"),
         StandardScaler(
             withMean=True, withStd=True, inputCol="numeric_filled", outputCol="numeric"
@@ -135,8 +136,12 @@ def _logistic(rows: int, binary: bool, config: RunConfig) -> LogisticRegression:
     )
 
 
-def _boosting(config: RunConfig) -> GBTClassifier:
-    return GBTClassifier(
+def _boosting(rows: int, config: RunConfig) -> GBTClassifier:
+    """Boosted trees; on larger tables a held-out share of the rows ends the rounds.
+
+    Rounds stop when the held-out loss no longer falls by more than the tolerance.
+    """
+    estimator = GBTClassifier(
         stepSize=config.boosting_rate,
         maxIter=config.boosting_rounds,
         maxDepth=config.boosting_depth,
@@ -146,6 +151,37 @@ def _boosting(config: RunConfig) -> GBTClassifier:
         weightCol="weight",
         seed=config.seed,
     )
+    if rows > config.early_stopping_rows:
+        estimator.setValidationIndicatorCol("held_out")
+        estimator.setParams(validationTol=config.early_stopping_tolerance)
+    return estimator
+
+
+class BoostedPerClass:
+    """One boosted model per class; adds their margins as the array ``margins``."""
+
+    def __init__(self, models: list):
+        self.models = models
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        margins = []
+        for at, model in enumerate(self.models):
+            shown = model.copy()
+            shown.setRawPredictionCol(f"raw_{at}").setPredictionCol("").setProbabilityCol("")
+            frame = shown.transform(frame)
+            margins.append(F.element_at(vector_to_array(f"raw_{at}"), 2))
+        return frame.withColumn("margins", F.array(*margins))
+
+
+def _fit_per_class(data, config: RunConfig) -> BoostedPerClass:
+    """Each class against the rest; three fits run side by side on the staged vectors."""
+
+    def fit(at: int):
+        rows = data.vectors.withColumn("label", (F.col("label") == float(at)).cast("double"))
+        return _boosting(data.rows, config).fit(rows)
+
+    with ThreadPoolExecutor(3) as pool:
+        return BoostedPerClass(list(pool.map(fit, range(len(data.labels)))))
 
 
 class FittedClassifier:
@@ -161,8 +197,7 @@ class FittedClassifier:
         scored = self.model.transform(self.preprocessing.transform(frame))
         if self.one_vs_rest:
             # Boosted margins become probabilities by the sigmoid of twice the margin.
-            raw = vector_to_array("rawPrediction")
-            return scored, F.transform(raw, lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
+            return scored, F.transform("margins", lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
         return scored, vector_to_array("probability")
 
     def aligned(self, frame: DataFrame, classes, result: str = "probabilities") -> DataFrame:
@@ -222,7 +257,12 @@ def prepare_training(
     )
     rows = vectors.count()
     weight = _balance(vectors) if binary else F.lit(1.0)
-    return TrainingSet(preprocessing, vectors.withColumn("weight", weight), labels, rows, binary)
+    # A hash of the row itself holds it out, so every rerun and every candidate agree.
+    held_out = F.pmod(F.xxhash64(vector_to_array("features"), "label"), F.lit(1000)) < F.lit(
+        int(1000 * EARLY_STOPPING_SHARE)
+    )
+    prepared = vectors.withColumns({"weight": weight, "held_out": held_out})
+    return TrainingSet(preprocessing, prepared, labels, rows, binary)
 
 
 def fit_classifier(name: str, data: TrainingSet, config: RunConfig) -> FittedClassifier:
@@ -234,8 +274,9 @@ def fit_classifier(name: str, data: TrainingSet, config: RunConfig) -> FittedCla
     if name == "logistic_regression":
         estimator = _logistic(data.rows, data.binary, config)
     elif data.binary:
-        estimator = _boosting(config)
+        estimator = _boosting(data.rows, config)
     else:
-        estimator = OneVsRest(classifier=_boosting(config), weightCol="weight", parallelism=3)
+        model = _fit_per_class(data, config)
+        return FittedClassifier(data.preprocessing, model, data.labels, multiclass_boosting)
     model = estimator.fit(data.vectors)
     return FittedClassifier(data.preprocessing, model, data.labels, multiclass_boosting)

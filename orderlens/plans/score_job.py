@@ -15,8 +15,8 @@ from orderlens.sources import files
 from orderlens.sources.files import ContractError
 
 EVALUATION_BOUNDARY = (
-    "No fitted model, future label, uplift, or performance metric is used or reported "
-    "when a supplied history is scored."
+    "Scores come from two rules over the supplied orders; nothing was trained on them and "
+    "their quality has not been measured."
 )
 
 
@@ -24,14 +24,14 @@ def checked_score_date(score_date: str | date) -> str:
     """ISO text of a plain date; a time of day or a zone is an error."""
     if isinstance(score_date, datetime):
         if score_date.tzinfo is not None or score_date.time() != datetime.min.time():
-            raise ContractError("score_date must contain a date without a time or timezone")
+            raise ContractError("The score date is a day: a time of day or a time zone is not allowed")
         score_date = score_date.date()
     if isinstance(score_date, date):
         return score_date.isoformat()
     try:
         return date.fromisoformat(score_date).isoformat()
     except (TypeError, ValueError) as error:
-        raise ContractError("score_date must be a valid date without a time") from error
+        raise ContractError("The score date cannot be read as a day (YYYY-MM-DD)") from error
 
 
 def split_history(transactions: DataFrame, score_date: str) -> tuple[DataFrame, DataFrame]:
@@ -44,9 +44,9 @@ def class_list(history: DataFrame) -> list[str]:
     """Sorted categories of the history; they name columns, so the driver holds them."""
     names = [row[0] for row in history.select("category").distinct().orderBy("category").collect()]
     if not names:
-        raise ContractError("No transactions occur before score_date")
+        raise ContractError("The history is empty: every order is on or after the score date")
     if len(names) < 3:
-        raise ContractError("At least three historical categories are required")
+        raise ContractError("The history has fewer than three categories")
     return names
 
 
@@ -98,7 +98,7 @@ def run_metadata(
         F.lit(contract.SCHEMA_VERSION).alias("schema_version"),
         F.lit(score_date).alias("score_date"),
         fingerprint.select(F.struct("*")).scalar().alias("input_fingerprint"),
-        manifests.limit(1).select(F.struct("*")).scalar().alias("provenance"),
+        manifests.agg(F.sort_array(F.collect_list(F.struct("*")))).scalar().alias("provenance"),
         F.struct("*").alias("input_summary"),
         F.struct(
             F.lit("smoothed_last_category_baseline").alias("category_relevance"),
@@ -131,7 +131,7 @@ def score_supplied_history(
     history, _ = split_history(transactions, day)
     config = RunConfig(categories=tuple(class_list(history)), scoring_date=day)
     queue = stage(baseline_queue(history, day, config), "queue")
-    snapshots.require_rows(queue, "No eligible customers were available for scoring")
+    snapshots.require_rows(queue, "No customer has enough recent history to be scored")
     paths = {
         "recommendations": f"{output_root}/reports/recommendations",
         "activation_summary": f"{output_root}/reports/activation_summary",

@@ -12,12 +12,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
+_MACHINE_FOLDERS = ("/tmp/", "/var/tmp/", "/dev/shm/")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured and not context.master.startswith("local"):
+        if configured.removeprefix("file://").removeprefix("file:").startswith(_MACHINE_FOLDERS):
+            raise RuntimeError(f"{configured} is a folder of one machine; name a shared one")
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
@@ -40,8 +45,23 @@ def stage(frame: DataFrame, name: str, partition_by: str | None = None) -> DataF
     """Write ``frame`` once and return a reader of the written table."""
     spark = frame.sparkSession
     path = new_path(spark, name)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     writer = frame.write
     if partition_by:
         writer = frame.hint("rebalance", partition_by).write.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the staged tables of this application once its results are committed.
+
+    Frames that still read a staged table cannot be used afterwards.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = hadoop.Path(path)
+        folder.getFileSystem(settings).delete(folder, True)
+    return len(paths)

@@ -197,3 +197,11 @@ def test_incomplete_or_broken_manifests(spark):
     for text in ("{broken", "[1]", ""):
         with pytest.raises(ContractError, match="valid_json_object"):
             provenance.require_provenance(manifest_rows(spark, text))
+
+
+def test_written_text_is_read_back(spark, tmp_path):
+    texts = ['x, "y"', "a, b\\", '"', "plain", "tab\there", "back\\slash \"quoted\""]
+    frame = spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "n int, text string")
+    files.write_csv(frame, str(tmp_path / "texts"))
+    back = files.read_csv(spark, str(tmp_path / "texts"), "n int, text string")
+    assert {row["n"]: row["text"] for row in back.collect()} == dict(enumerate(texts))

@@ -53,7 +53,7 @@ def test_scoring_job_end_to_end(spark, history, tmp_path):
     assert counts["historical_rows"] + counts["ignored_on_or_after_score_date"] == history.count()
     assert counts["eligible_customers"] == eligible
     assert counts["checks_passed"] == 22
-    assert metadata["provenance"]["source_name"] == MANIFEST["source_name"]
+    assert metadata["provenance"][0]["source_name"] == MANIFEST["source_name"]
     assert metadata["input_fingerprint"]["rows"] == history.count()
     text = json.dumps(metadata.asDict(recursive=True))
     for metric in ("hit_rate", "roc_auc", "average_precision", "log_loss"):

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from orderlens.operators import baselines, binary_metrics, monitoring, ranking_metrics
 
 CLASSES = ("A", "B", "C")
-HAND = [("A", [0.70, 0.20, 0.10]), ("B", [0.55, 0.35, 0.10]), ("C", [0.45, 0.20, 0.35])]
+# True ranks 1, 2, 3 and 1.
+HAND = [
+    ("B", [0.2, 0.5, 0.3]),
+    ("A", [0.3, 0.6, 0.1]),
+    ("C", [0.5, 0.3, 0.2]),
+    ("C", [0.1, 0.1, 0.8]),
+]
 
 
 def ranked_frame(spark, rows):
@@ -18,11 +24,12 @@ def test_ranking_metrics_by_hand(spark):
     row = ranking_metrics.category_metrics(
         ranked_frame(spark, HAND), "truth", "p", CLASSES
     ).first()
-    assert row["top_1_hit_rate"] == pytest.approx(1 / 3)
-    assert row["top_2_hit_rate"] == row["top_3_hit_rate"] == 1.0
-    assert row["mean_reciprocal_rank"] == pytest.approx(2 / 3)
-    assert row["log_loss"] == pytest.approx(0.818773, abs=1e-6)
-    assert row["multiclass_brier_score"] == pytest.approx(0.513333, abs=1e-6)
+    assert [row[f"top_{k}_hit_rate"] for k in (1, 2, 3)] == [0.5, 0.75, 1.0]
+    assert row["mean_reciprocal_rank"] == pytest.approx((1 + 1 / 2 + 1 / 3 + 1) / 4)
+    truth = (0.5, 0.3, 0.2, 0.8)
+    assert row["log_loss"] == pytest.approx(-sum(map(math.log, truth)) / 4)
+    squares = (0.38, 0.86, 0.98, 0.06)
+    assert row["multiclass_brier_score"] == pytest.approx(sum(squares) / 4)
 
 
 def test_ties_follow_the_class_list(spark):
@@ -78,8 +85,8 @@ def binary(spark, rows):
 
 KNOWN = list(
     zip(
-        (1, 0, 1, 0, 1, 0, 0, 0, 1, 0),
-        (0.9, 0.1, 0.8, 0.2, 0.7, 0.3, 0.15, 0.05, 0.6, 0.4),
+        (1, 1, 0, 1, 0, 0, 0, 0),
+        (0.95, 0.85, 0.75, 0.65, 0.45, 0.35, 0.25, 0.05),
         strict=True,
     )
 )
@@ -99,11 +106,14 @@ def test_binary_metrics_equal_the_definitions(spark, seed):
 
 def test_binary_metrics_known_answers(spark):
     good = binary(spark, [(y, p, i) for i, (y, p) in enumerate(KNOWN)])
-    assert good["average_precision"] == good["roc_auc"] == 1.0
-    assert (good["recall_at_top_20pct"], good["lift_at_top_20pct"]) == (0.5, 2.5)
+    # Positives stand at places 1, 2 and 4; one of 15 pairs is in the wrong order.
+    assert good["average_precision"] == pytest.approx((1 + 1 + 3 / 4) / 3)
+    assert good["roc_auc"] == pytest.approx(14 / 15)
+    assert good["recall_at_top_20pct"] == pytest.approx(2 / 3)
+    assert good["lift_at_top_20pct"] == pytest.approx(8 / 3)
     worse = binary(spark, [(y, 1 - p, i) for i, (y, p) in enumerate(KNOWN)])
-    assert worse["average_precision"] == pytest.approx(0.281548, abs=1e-6)
-    assert worse["roc_auc"] == pytest.approx(0.0)
+    assert worse["average_precision"] == pytest.approx((1 / 5 + 2 / 7 + 3 / 8) / 3)
+    assert worse["roc_auc"] == pytest.approx(1 / 15)
 
 
 def test_one_class_only(spark):
