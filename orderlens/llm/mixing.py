@@ -207,9 +207,13 @@ def mix(docs: DataFrame, size: Column, seed: int = 29, percent: int = MIX_PERCEN
     )
 
 
-def materialise(planned: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of the mix: each document as often as it is taken."""
-    return planned.withColumn("mix_shard", F.explode("mix_shards")).select(*columns)
+def mixed_documents(docs: DataFrame, size: Column, seed: int = 29, percent: int = MIX_PERCENT) -> DataFrame:
+    """The rows of the mix: each document as often as it is taken, with its own columns only."""
+    whole = docs.select(
+        "doc_id", "source", size.alias("_mix_words"), F.struct("*").alias("_mix_document")
+    )
+    planned = mix(whole, F.col("_mix_words"), seed, percent)
+    return planned.withColumn("_mix_shard", F.explode("mix_shards")).select("_mix_document.*")
 
 
 def write_mix(planned: DataFrame, columns: list[str], path: str) -> None:

@@ -268,22 +268,17 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def remove_reported(docs: DataFrame, chain: Chain, reject_on: tuple[str, ...]) -> DataFrame:
-    """``docs`` without those reported for one of ``reject_on``; rows pass as text, nothing is shuffled."""
-    names = docs.columns
+    """``docs`` without those reported for one of ``reject_on``.
+
+    Only texts go to Python; nothing is shuffled and all columns stay as they are.
+    """
     checked = [(at, limit) for at, (name, _, limit) in enumerate(chain.links) if name in reject_on]
 
-    def run(batches) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            keep = []
-            for text in frame["_text"]:
-                found = chain.probabilities(text)
-                keep.append(not any(found[at] >= limit for at, limit in checked))
-            yield frame[pd.Series(keep, index=frame.index, dtype=bool)].drop(columns=["_text"])
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            found = [chain.probabilities(text) for text in batch]
+            yield pd.Series(
+                [not any(one[at] >= limit for at, limit in checked) for one in found], dtype=bool
+            )
 
-    passed = docs.select(
-        *[F.col(f"`{name}`").cast("string").alias(name) for name in names],
-        F.coalesce("text", F.lit("")).alias("_text"),
-    )
-    kept = passed.mapInPandas(run, ", ".join(f"`{name}` string" for name in names))
-    types = {field.name: field.dataType for field in docs.schema.fields}
-    return kept.select(*[F.col(f"`{name}`").cast(types[name]).alias(name) for name in names])
+    return docs.filter(F.pandas_udf(clean, "boolean")(F.coalesce("text", F.lit(""))))

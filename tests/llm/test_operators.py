@@ -403,7 +403,9 @@ def test_mix_meets_its_targets(spark, docs, nothing):
     assert planned.exceptAll(again).count() == 0
     odd = mixing.mix(docs, word_count(F.col("text")))
     assert odd.count() == docs.count() and odd.columns.count("size") == 1
-    assert mixing.materialise(odd, docs.columns).columns == docs.columns
+    rows = mixing.mixed_documents(docs, word_count(F.col("text")))
+    assert rows.columns == docs.columns and rows.filter("size <> 9").count() == 0
+    assert rows.count() == odd.agg(F.sum("copies")).first()[0]
     assert mixing.mix(nothing, word_count(F.col("text"))).count() == 0
 
 
