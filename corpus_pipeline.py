@@ -32,8 +32,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix; a document that the mix takes twice is there twice."""
-    planned = mixing.mix(docs, word_count(F.col("text")))
-    return mixing.materialise(planned, docs.columns)
+    return mixing.mixed_documents(docs, word_count(F.col("text")))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
