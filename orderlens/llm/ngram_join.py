@@ -103,8 +103,10 @@ def _meet_shingles(batches) -> Iterator[pd.DataFrame]:
         fresh = np.ones(len(value), bool)
         fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
         value, owner = value[fresh], owner[fresh]
-        group = np.cumsum(np.concatenate(([True], value[1:] != value[:-1]))) - 1
-        holders = np.bincount(group)[group]
+        # Most shingles have one holder; only runs of equal ones are looked at further.
+        starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+        lengths = np.diff(np.append(starts, len(value)))
+        holders = np.repeat(lengths, lengths)
         shared = holders > 1
         value, owner, holders = value[shared], owner[shared], holders[shared]
         home = np.fromiter((int.from_bytes(one[:4], "big") for one in owners), np.int64, len(owners))

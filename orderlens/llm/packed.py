@@ -15,7 +15,7 @@ import numpy as np
 import xxhash
 import zstandard
 
-BATCH_POSTINGS = 3_000_000
+BATCH_POSTINGS = 1_000_000
 BUCKET_BYTES = 12 << 20
 MIN_BUCKETS = 64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -121,7 +121,7 @@ def gather(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.
     for blob in blobs:
         planes, at, owners, extra = load(blob)
         known = np.fromiter(
-            (numbers.setdefault(one, len(numbers)) for one in owners), np.int64, len(owners)
+            (numbers.setdefault(one, len(numbers)) for one in owners), np.int32, len(owners)
         )
         values.append(_unplaned(planes))
         owner.append(known[at])
