@@ -11,7 +11,7 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
    and frequency classes with two different scrambles. A candidate pair must share a prefix shingle
    under all of them; only pairs that pass all filters are verified.
 4. Only components are asked for, so a dense group is not expanded into pairs: each set is first verified
-   against one leader among the sets it shares prefix shingles with, and the resulting components
+   against a few leaders among the sets it shares prefix shingles with, and the resulting components
    are joined by verifying all remaining candidate pairs between different components. In a bucket,
    only sets outside its largest component are compared with the others.
 
@@ -39,7 +39,7 @@ from orderlens.llm.components import connected_components
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
-LEADER_ROUNDS = 2
+LEADERS_TRIED = (1, 6)
 _SEEN = 200_000
 
 
@@ -212,16 +212,23 @@ def _sizes_fit(percent: int, one: str, other: str):
 
 
 def _leader_pairs(held: DataFrame, percent: int, turn: int) -> DataFrame:
-    """For every set, the best leader among its prefix buckets that is in another component."""
-    first = F.col("alone") if turn == 0 else F.xxhash64(F.lit(turn), "id").cast("double")
+    """Pairs of sets with leaders of their prefix buckets that are in another component.
+
+    First the set with the fewest shingles of its own leads a bucket, for it is nearest to what
+    copies have in common; later any set does, by a hash, and what is left tries several leaders.
+    """
+    first = F.col("alone") if turn == 0 else F.xxhash64(F.lit(turn), "token", "id").cast("double")
     rank = F.struct(first.alias("first"), F.col("id").alias("leader"), F.col("n").alias("leader_n"), F.col("root").alias("leader_root"))
     leaders = held.groupBy("token").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("members"))
+    fitting = held.join(leaders.filter("members > 1"), "token").filter(
+        (F.col("root") != F.col("best.leader_root")) & _sizes_fit(percent, "n", "best.leader_n")
+    )
+    tried = F.slice(F.sort_array(F.collect_set("best")), 1, LEADERS_TRIED[turn])
     return (
-        held.join(leaders.filter("members > 1"), "token")
-        .filter((F.col("root") != F.col("best.leader_root")) & _sizes_fit(percent, "n", "best.leader_n"))
-        .groupBy("id")
-        .agg(F.min("best").alias("best"))
-        .select(F.col("id").alias("a"), F.col("best.leader").alias("b"))
+        fitting.groupBy("id")
+        .agg(tried.alias("tried"))
+        .select(F.col("id").alias("a"), F.explode("tried.leader").alias("b"))
+        .distinct()
     )
 
 
@@ -288,7 +295,7 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
     )
     links = likely.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     roots = likely.select("id", F.col("id").alias("root")).limit(0)
-    for turn in range(LEADER_ROUNDS):
+    for turn in range(len(LEADERS_TRIED)):
         pairs = _leader_pairs(_with_roots(likely, 0, roots), percent, turn)
         links = links.unionAll(stage(_verified(pairs, likely, percent), "leader-links"))
         roots = connected_components(links, stage)
