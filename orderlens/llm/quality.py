@@ -1,16 +1,18 @@
 """Quality rules by divergence from the references of a document's language.
 
-A document is described by two histograms: its character classes, and how often it uses each of
-the common function words of its language. The references are the same histograms over
+A document is described by three histograms: its character classes, how often it uses each of
+the listed function words of its language, and how often each of the words that are the most
+frequent ones in all documents of its language. The references are the same histograms over
 all documents of that language. A document fails when its Jensen-Shannon distance (base 2, in
 [0, 1]) to a reference is above a limit; each test applies from a minimum length on, because short
-texts are far from any reference by chance.
+texts are far from any reference by chance. For the frequent words the limit is a share of the
+distance of a document that has none of them, so such a document always fails.
 
 Everything is built-in expressions over a document's own text, linear or n log n in its length;
-the references are one aggregation with map-side combine.
+word counts and references are aggregations with map-side combine.
 
 Edge cases: NULL text counts as empty; NULL is a language of its own; a language without listed words
-has no word test; an empty table gives an empty result; repeated rows are judged alike; other
+has no test on these, but one on its frequent words; an empty table gives an empty result; repeated rows are judged alike; other
 columns are not returned.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import BREAKS, let, words
@@ -27,6 +29,8 @@ MIN_WORDS = 50
 MIN_CHARS = 200
 MAX_CHAR_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
+FREQUENT_WORDS = 24
+MAX_FREQUENT_DISTANCE = 0.9  # of the distance without any frequent word
 MAX_REPEAT_PERCENT = 50
 SHORT_LIST = 24
 # Character classes: a mark and the characters that it stands for. Blanks, bytes beyond the first
@@ -140,6 +144,30 @@ def common_words(lang: Column) -> Column:
     return F.coalesce(listed, F.array().cast("array<string>"))
 
 
+def spoken_words(text: Column) -> Column:
+    """Lower-case words without ASCII punctuation and digits, which part words."""
+    apart = string.punctuation + string.digits
+    return words(F.translate(F.lower(text), apart, " " * len(apart)))
+
+
+def frequent_words(docs: DataFrame, count: int = FREQUENT_WORDS) -> DataFrame:
+    """The ``count`` most frequent words of each language; a tie goes to the smaller word.
+
+    Counts combine on the map side, and only the first ``count`` words of a language leave a
+    task, so a language of most documents is no hot group.
+    """
+    spoken = docs.select("lang", F.explode(spoken_words(F.col("text"))).alias("word"))
+    counted = spoken.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    return (
+        counted.withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") <= count)
+        .groupBy(F.col("lang").alias("spoken_lang"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("top"))
+        .select("spoken_lang", F.col("top")["word"].alias("frequent"))
+    )
+
+
 def jensen_shannon(left: Column, right: Column) -> Column:
     """Jensen-Shannon distance of two distributions given as arrays of equal length."""
 
@@ -154,22 +182,34 @@ def jensen_shannon(left: Column, right: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), (half(left, right) + half(right, left)) / 2))
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """Base counts and the two histograms of every document, without its text."""
+def measures(docs: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Base counts and the histograms of every document, without its text.
+
+    ``frequent`` has one row per language. Its words are compared by 64-bit hashes: looking up
+    each of them in strings took most of the time.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select(
+    known = docs.join(F.broadcast(frequent), F.col("lang").eqNullSafe(F.col("spoken_lang")), "left")
+    split = known.select(
         "doc_id",
         "lang",
         text.alias("text"),
         words(F.col("text")).alias("words"),
         class_marks(text).alias("marks"),
         common_words(F.col("lang")).alias("common"),
+        F.transform(spoken_words(F.col("text")), lambda word: F.xxhash64(word)).alias("spoken"),
+        F.coalesce(
+            F.transform("frequent", lambda word: F.xxhash64(word)), F.array().cast("array<bigint>")
+        ).alias("frequent"),
     )
     listed = [f"listed_{at}" for at in range(max(len(some) for some in COMMON_WORDS.values()))]
+    often = [f"often_{at}" for at in range(FREQUENT_WORDS)]
     counted = split.select(
         "doc_id",
         "lang",
         "common",
+        "frequent",
+        F.coalesce(F.size("spoken"), F.lit(0)).cast("long").alias("n_spoken"),
         F.size("words").cast("long").alias("n_words"),
         F.length("text").cast("long").alias("n_chars"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -181,6 +221,12 @@ def measures(docs: DataFrame) -> DataFrame:
             .alias(name)
             for at, name in enumerate(listed)
         ],
+        *[
+            (F.size("spoken") - F.size(F.array_remove("spoken", F.get("frequent", F.lit(at)))))
+            .cast("long")
+            .alias(name)
+            for at, name in enumerate(often)
+        ],
         duplicate_lines(F.col("text")).alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
     )
@@ -188,12 +234,15 @@ def measures(docs: DataFrame) -> DataFrame:
     found = [F.col(f"class_{at}") for at in range(len(CLASSES))]
     known = [*found, blanks, F.col("n_beyond")]
     used = [F.when(F.size("common") > at, F.col(name)).otherwise(F.lit(0)) for at, name in enumerate(listed)]
+    heard = [F.when(F.size("frequent") > at, F.col(name)).otherwise(F.lit(0)) for at, name in enumerate(often)]
     rest = F.greatest(F.lit(0), F.col("n_chars") - sum(known[1:], known[0]))
     others = F.greatest(F.lit(0), F.col("n_words") - sum(used[1:], used[0]))
+    seldom = F.greatest(F.lit(0), F.col("n_spoken") - sum(heard[1:], heard[0]))
     return counted.select(
         "doc_id",
         "lang",
         "n_words",
+        "n_spoken",
         "n_chars",
         "word_chars",
         found[0].alias("n_symbols"),
@@ -201,6 +250,7 @@ def measures(docs: DataFrame) -> DataFrame:
         "n_repeat_words",
         F.array(*known, rest).alias("class_counts"),
         F.concat(F.slice(F.array(*used), 1, F.size("common")), F.array(others)).alias("word_counts"),
+        F.concat(F.slice(F.array(*heard), 1, F.size("frequent")), F.array(seldom)).alias("frequent_counts"),
     )
 
 
@@ -209,14 +259,18 @@ def _total(counts: Column) -> Column:
 
 
 def references(measured: DataFrame) -> DataFrame:
-    """Per language, the share of each character class and of each listed word in all its text."""
+    """Per language, the share of each character class, listed word and frequent word in all its text."""
 
     def sums(name: str, length: int) -> list[Column]:
         return [F.sum(F.get(name, F.lit(at))).alias(f"{name}_{at}") for at in range(length)]
 
     n_classes = len(CLASSES) + 3
     n_listed = 1 + max(len(some) for some in COMMON_WORDS.values())
-    held = measured.groupBy("lang").agg(*sums("class_counts", n_classes), *sums("word_counts", n_listed))
+    held = measured.groupBy("lang").agg(
+        *sums("class_counts", n_classes),
+        *sums("word_counts", n_listed),
+        *sums("frequent_counts", FREQUENT_WORDS + 1),
+    )
 
     def shares(name: str, length: int) -> Column:
         parts = F.filter(F.array(*[F.col(f"{name}_{at}") for at in range(length)]), F.isnotnull)
@@ -226,15 +280,17 @@ def references(measured: DataFrame) -> DataFrame:
         F.col("lang").alias("of_lang"),
         shares("class_counts", n_classes).alias("class_share"),
         shares("word_counts", n_listed).alias("common_share"),
+        shares("frequent_counts", FREQUENT_WORDS + 1).alias("frequent_share"),
     )
 
 
 def judge(docs: DataFrame, stage) -> DataFrame:
-    """One row per document: counts, ``base_failed``, both distances and ``kept``.
+    """One row per document: counts, ``base_failed``, the distances and ``kept``.
 
     ``stage`` writes a table once and returns its reader.
     """
-    measured = stage(measures(docs), "quality-measures")
+    frequent = stage(frequent_words(docs), "quality-words")
+    measured = stage(measures(docs, frequent), "quality-measures")
     known = measured.join(references(measured), F.col("lang").eqNullSafe(F.col("of_lang")), "left")
 
     def share(counts: str) -> Column:
@@ -251,15 +307,24 @@ def judge(docs: DataFrame, stage) -> DataFrame:
         (F.col("n_words") >= MIN_WORDS) & (F.size("word_counts") > 1),
         jensen_shannon(share("word_counts"), F.col("common_share")),
     )
+    no_frequent = F.transform(
+        "frequent_counts", lambda n, at: (at == F.size("frequent_counts") - 1).cast("double")
+    )
+    frequent_distance = F.when(
+        (F.col("n_spoken") >= MIN_WORDS) & (F.size("frequent_counts") > 1),
+        jensen_shannon(share("frequent_counts"), F.col("frequent_share"))
+        / jensen_shannon(no_frequent, F.col("frequent_share")),
+    )
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     near = (F.coalesce(F.col("char_distance"), F.lit(0.0)) <= MAX_CHAR_DISTANCE) & (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) <= MAX_WORD_DISTANCE
-    )
+    ) & (F.coalesce(F.col("frequent_distance"), F.lit(0.0)) <= MAX_FREQUENT_DISTANCE)
     return (
         known.withColumn("char_distance", char_distance)
         .withColumn("word_distance", word_distance)
+        .withColumn("frequent_distance", frequent_distance)
         .withColumn("base_failed", base_failed)
         .select(
             "doc_id",
@@ -272,5 +337,6 @@ def judge(docs: DataFrame, stage) -> DataFrame:
             (~F.col("base_failed") & near).alias("kept"),
             "char_distance",
             "word_distance",
+            "frequent_distance",
         )
     )

@@ -170,7 +170,7 @@ def op9_mixing_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read_table(spark, folder, "documents"), stage).drop(
-        "char_distance", "word_distance"
+        "char_distance", "word_distance", "frequent_distance"
     )
 
 

@@ -444,3 +444,22 @@ def test_symbol_junk_fails_and_prose_stays(spark):
     assert not judged[99]["kept"] and judged[99]["char_distance"] > quality.MAX_CHAR_DISTANCE
     assert judged[98]["word_distance"] is None and judged[98]["n_repeat_words"] == 1500
     assert all(judged[at]["char_distance"] < 0.2 for at in range(30))
+
+
+def test_text_without_the_words_of_its_language_fails(spark):
+    small = ("the", "of", "and", "to", "in", "a", "is", "that")
+    prose_rows = [
+        (at, " ".join(f"{word(at * 31 + n)} {small[n * (2 * at + 1) % 8]}" for n in range(100))) for at in range(30)
+    ]
+    gibberish = " ".join("z" + chr(97 + n % 26) + chr(97 + n // 26) + "q" for n in range(200))
+    rows = []
+    for at, lang in enumerate(("en", "tr", None)):
+        rows += [(1000 * at + doc, text, lang) for doc, text in prose_rows]
+        rows.append((1000 * at + 99, gibberish, lang))
+    judged = {
+        r["doc_id"]: r
+        for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), stage).collect()
+    }
+    for doc, row in judged.items():
+        assert row["kept"] == (doc % 1000 != 99), row
+        assert (row["frequent_distance"] > quality.MAX_FREQUENT_DISTANCE) == (doc % 1000 == 99)
