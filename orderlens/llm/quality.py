@@ -40,6 +40,7 @@ CLASSES = (
     ("A", string.ascii_uppercase),
     ("0", string.digits),
     (".", ".,;:!?'\"()-"),
+    ("=", "/\\=+_@{}~^`[]"),
 )
 # Function words whose shares make the word histogram, per language code.
 COMMON_WORDS = {

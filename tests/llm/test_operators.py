@@ -463,3 +463,13 @@ def test_text_without_the_words_of_its_language_fails(spark):
     for doc, row in judged.items():
         assert row["kept"] == (doc % 1000 != 99), row
         assert (row["frequent_distance"] > quality.MAX_FREQUENT_DISTANCE) == (doc % 1000 == 99)
+
+
+def test_markup_is_a_class_of_its_own(spark):
+    rows = [(at, " ".join(word(at * 31 + n) for n in range(100)), "en") for at in range(30)]
+    rows.append((99, " ".join(f"{word(n)}==== ____ {{}} @@@@ ~~~~/" for n in range(90)), "en"))
+    judged = {
+        r["doc_id"]: r["char_distance"]
+        for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), stage).collect()
+    }
+    assert judged.pop(99) > quality.MAX_CHAR_DISTANCE >= max(judged.values())
