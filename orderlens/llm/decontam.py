@@ -11,8 +11,11 @@ at least ``MIN_SHARE`` of the item's tokens (and ``WINDOW`` of them, or all of a
 The index is built for blocks of at most ``BLOCK_CHARS`` characters of benchmark text, which bounds
 what is sent to the tasks; a larger benchmark is matched block by block.
 
-Edge cases: NULL or blank texts match nothing; items of fewer than ``MIN_TOKENS`` tokens are skipped, as are
-windows with more slots than words; repeated items or documents are matched on their own; a NULL
+Windows with more slots than words, and whole items of fewer than ``MIN_TOKENS`` tokens, say too little
+as templates; they are indexed by their literal values, so verbatim copies are always found.
+
+Edge cases: NULL or blank texts match nothing; an item of one token is found in each document with
+that token; repeated items or documents are matched on their own; a NULL
 id is carried; an empty table on either side gives an empty result; other columns are ignored.
 """
 
@@ -70,12 +73,13 @@ class Templates(dict):
         super().__init__()
         self.inside = np.zeros(1 << 12, np.uint64)
         self.opening = np.zeros(1 << 12, np.uint64)
+        self.literal = np.zeros(1 << 12, np.uint64)
         self.ends = np.zeros(1 << 12, bool)
 
     def __missing__(self, word: str) -> int:
         number = len(self)
         if number == len(self.ends):
-            for name in ("inside", "opening", "ends"):
+            for name in ("inside", "opening", "literal", "ends"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         kind, value = token_kind(word)
@@ -84,24 +88,25 @@ class Templates(dict):
         # A capital that opens a sentence names nobody.
         self.opening[number] = literal if kind in ("word", "name", "") else typed
         self.inside[number] = literal if kind in ("word", "") else typed
+        self.literal[number] = literal
         self.ends[number] = word[-1:] in ".!?:"
         self[word] = number
         return number
 
-    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words that carry a token, their hashes, and which of them are slots."""
+    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Words that carry a token, hashes of template and value, and which of them are slots."""
         words = text.split()
         if len(self) > _VOCABULARY:
             self.clear()
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if not len(at):
-            return [], np.empty(0, np.uint64), np.empty(0, bool)
+            return [], np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
         starts = np.concatenate(([True], self.ends[at[:-1]]))
         hashes = np.where(starts, self.opening[at], self.inside[at])
         kept = np.flatnonzero(hashes)
         if len(kept) < len(words):
             words = [words[one] for one in kept]
-        return words, hashes[kept], np.isin(hashes[kept], SLOTS)
+        return words, hashes[kept], self.literal[at[kept]], np.isin(hashes[kept], SLOTS)
 
 
 SLOTS = np.array(
@@ -115,34 +120,37 @@ class Index:
     def __init__(self, items: list[tuple[object, str]]):
         templates = Templates()
         self.items = []
-        self.windows: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        # By width and whether the window is literal.
+        self.windows: dict[tuple[int, bool], dict[int, list[tuple[int, int]]]] = {}
         for item_id, text in items:
-            words, hashes, slots = templates.tokens(text or "")
-            if len(hashes) < MIN_TOKENS:
+            words, hashes, literals, slots = templates.tokens(text or "")
+            if not len(hashes):
                 continue
             width = min(WINDOW, len(hashes))
             values = [word.strip(OUTER).lower() for word in words]
             number = len(self.items)
             self.items.append((item_id, width, values, slots))
             filled = np.convolve(slots, np.ones(width, int), "valid")
-            held = self.windows.setdefault(width, {})
-            for at, value in enumerate(packed.runs_of_words(hashes, width).tolist()):
-                if 2 * filled[at] <= width:
-                    held.setdefault(value, []).append((number, at))
+            runs = packed.runs_of_words(hashes, width).tolist()
+            exact = packed.runs_of_words(literals, width).tolist()
+            for at, many in enumerate(filled):
+                literal = width < MIN_TOKENS or 2 * many > width
+                held = self.windows.setdefault((width, literal), {})
+                held.setdefault((exact if literal else runs)[at], []).append((number, at))
         self.bitmaps = {}
-        for width, held in self.windows.items():
+        for kind, held in self.windows.items():
             bitmap = np.zeros(1 << _BITS, bool)
             bitmap[np.array(list(held), np.uint64) & np.uint64((1 << _BITS) - 1)] = True
-            self.bitmaps[width] = bitmap
+            self.bitmaps[kind] = bitmap
 
-    def matches(self, words: list[str], hashes: np.ndarray) -> list[tuple]:
+    def matches(self, words: list[str], hashes: np.ndarray, literals: np.ndarray) -> list[tuple]:
         """(item, tokens, covered, changed slots, first and last word) of the contaminating items."""
         hits: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for width, held in self.windows.items():
+        for (width, literal), held in self.windows.items():
             if len(hashes) < width:
                 continue
-            runs = packed.runs_of_words(hashes, width)
-            likely = np.flatnonzero(self.bitmaps[width][runs & np.uint64((1 << _BITS) - 1)])
+            runs = packed.runs_of_words(literals if literal else hashes, width)
+            likely = np.flatnonzero(self.bitmaps[width, literal][runs & np.uint64((1 << _BITS) - 1)])
             for place, value in zip(likely.tolist(), runs[likely].tolist()):
                 for number, at in held.get(value, ()):
                     hits[number][place - at].append(at)
@@ -179,8 +187,7 @@ def _search(index: Index):
         for frame in batches:
             rows = []
             for doc, row, text in zip(frame["doc"], frame["row"], frame["text"]):
-                words, hashes, _ = templates.tokens(text)
-                rows += [(doc, row, *match) for match in index.matches(words, hashes)]
+                rows += [(doc, row, *match) for match in index.matches(*templates.tokens(text)[:3])]
             yield pd.DataFrame(rows, columns=columns)
 
     return search
@@ -230,7 +237,7 @@ def _is_clean(index: Index):
         templates = Templates()
         for batch in texts:
             yield pd.Series(
-                [not index.matches(*templates.tokens(text)[:2]) for text in batch], dtype=bool
+                [not index.matches(*templates.tokens(text)[:3]) for text in batch], dtype=bool
             )
 
     return F.pandas_udf(clean, "boolean")

@@ -270,6 +270,17 @@ def test_templates_find_other_parameters(spark, nothing):
     assert decontam.contaminated(nothing, items).count() == 0
 
 
+
+def leaks(item, *texts):
+    index, templates = decontam.Index([(1, item)]), decontam.Templates()
+    return [bool(index.matches(*templates.tokens(text)[:3])) for text in texts]
+
+
+def test_slot_dense_and_short_items_are_found_verbatim():
+    for item in ("Solve 12 + 7 - 3 * 2", "3 5 8 13 21 34 55 89 144 233 377 610", "Name two primes"):
+        assert leaks(item, f"see: {item} and more", item, "Solve 4 + 1 - 9 * 8 and 1 2 3") == [True, True, False]
+
+
 # substring dedup ---------------------------------------------------------------------------
 
 
