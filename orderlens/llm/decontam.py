@@ -11,8 +11,12 @@ at least ``MIN_SHARE`` of the item's tokens (and ``WINDOW`` of them, or all of a
 The index is built for blocks of at most ``BLOCK_CHARS`` characters of benchmark text, which bounds
 what is sent to the tasks; a larger benchmark is matched block by block.
 
+A capitalised word is a name wherever it stands, so its token does not depend on the word before it.
+Where an item's sentence starts, its word is indexed in both forms, as a name and as a word.
+
+All windows are indexed by their literal values as well, so verbatim copies are always found.
 Windows with more slots than words, and whole items of fewer than ``MIN_TOKENS`` tokens, say too little
-as templates; they are indexed by their literal values, so verbatim copies are always found.
+as templates; they are indexed by their values only.
 
 Edge cases: NULL or blank texts match nothing; an item of one token is found in each document with
 that token; repeated items or documents are matched on their own; a NULL
@@ -21,6 +25,7 @@ id is carried; an empty table on either side gives an empty result; other column
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -47,6 +52,7 @@ UNITS = frozenset(
     "years °c °f c f kb mb gb tb".split()
 )
 NUMBER = re.compile(r"[+\-$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th|e[+-]?\d+)?$", re.IGNORECASE)
+MAX_EITHER = 4  # sentence starts in a window up to which all mixed forms are indexed
 _VOCABULARY = 1_000_000
 _BITS = 22
 
@@ -71,23 +77,20 @@ class Templates(dict):
 
     def __init__(self):
         super().__init__()
-        self.inside = np.zeros(1 << 12, np.uint64)
-        self.opening = np.zeros(1 << 12, np.uint64)
+        self.template = np.zeros(1 << 12, np.uint64)
         self.literal = np.zeros(1 << 12, np.uint64)
         self.ends = np.zeros(1 << 12, bool)
 
     def __missing__(self, word: str) -> int:
         number = len(self)
         if number == len(self.ends):
-            for name in ("inside", "opening", "literal", "ends"):
+            for name in ("template", "literal", "ends"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         kind, value = token_kind(word)
         literal = xxhash.xxh3_64_intdigest(value.encode()) if value else 0
         typed = xxhash.xxh3_64_intdigest(f"<{kind}>".encode())
-        # A capital that opens a sentence names nobody.
-        self.opening[number] = literal if kind in ("word", "name", "") else typed
-        self.inside[number] = literal if kind in ("word", "") else typed
+        self.template[number] = literal if kind in ("word", "") else typed
         self.literal[number] = literal
         self.ends[number] = word[-1:] in ".!?:"
         self[word] = number
@@ -101,17 +104,36 @@ class Templates(dict):
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if not len(at):
             return [], np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
-        starts = np.concatenate(([True], self.ends[at[:-1]]))
-        hashes = np.where(starts, self.opening[at], self.inside[at])
+        hashes = self.template[at]
         kept = np.flatnonzero(hashes)
         if len(kept) < len(words):
             words = [words[one] for one in kept]
         return words, hashes[kept], self.literal[at[kept]], np.isin(hashes[kept], SLOTS)
 
+    def openers(self, text: str) -> np.ndarray:
+        """Which of the tokens are words or names at the start of a sentence."""
+        at = np.array([self[word] for word in text.split()], np.int64)
+        starts = np.concatenate(([True], self.ends[at[:-1]]))
+        hashes = self.template[at]
+        either = starts & ((hashes == NAME) | ~np.isin(hashes, SLOTS))
+        return either[np.flatnonzero(hashes)]
+
 
 SLOTS = np.array(
     [xxhash.xxh3_64_intdigest(f"<{kind}>".encode()) for kind in ("num", "unit", "name")], np.uint64
 )
+NAME = SLOTS[2]
+
+
+def forms(named: np.ndarray, literal: np.ndarray, either: np.ndarray) -> list[int]:
+    """Hashes of a window in which each opener is a name or a word."""
+    places = np.flatnonzero(either)
+    out = []
+    for chosen in itertools.product((False, True), repeat=len(places)):
+        window = named.copy()
+        window[places[list(chosen)]] = literal[places[list(chosen)]]
+        out += packed.runs_of_words(window, len(window)).tolist()
+    return out
 
 
 class Index:
@@ -129,14 +151,26 @@ class Index:
             width = min(WINDOW, len(hashes))
             values = [word.strip(OUTER).lower() for word in words]
             number = len(self.items)
-            self.items.append((item_id, width, values, slots))
-            filled = np.convolve(slots, np.ones(width, int), "valid")
-            runs = packed.runs_of_words(hashes, width).tolist()
+            either = templates.openers(text)
+            self.items.append((item_id, width, values, slots | either))
+            named, worded = np.where(either, NAME, hashes), np.where(either, literals, hashes)
+            filled = np.convolve(slots & ~either, np.ones(width, int), "valid")
+            mixed = np.convolve(either, np.ones(width, int), "valid")
+            runs = packed.runs_of_words(named, width).tolist()
+            others = packed.runs_of_words(worded, width).tolist()
             exact = packed.runs_of_words(literals, width).tolist()
             for at, many in enumerate(filled):
-                literal = width < MIN_TOKENS or 2 * many > width
-                held = self.windows.setdefault((width, literal), {})
-                held.setdefault((exact if literal else runs)[at], []).append((number, at))
+                values_held = self.windows.setdefault((width, True), {})
+                values_held.setdefault(exact[at], []).append((number, at))
+                if width < MIN_TOKENS or 2 * many > width:
+                    continue
+                held = self.windows.setdefault((width, False), {})
+                hashed = {runs[at], others[at]}
+                if 1 < mixed[at] <= MAX_EITHER:
+                    here = slice(at, at + width)
+                    hashed.update(forms(named[here], literals[here], either[here]))
+                for value in hashed:
+                    held.setdefault(value, []).append((number, at))
         self.bitmaps = {}
         for kind, held in self.windows.items():
             bitmap = np.zeros(1 << _BITS, bool)
@@ -161,7 +195,7 @@ class Index:
             for shift, starts in shifts.items():
                 forward: dict[str, str] = {}
                 backward: dict[str, str] = {}
-                for start in sorted(starts):
+                for start in sorted(set(starts)):
                     slot_at = [at for at in range(start, start + width) if slots[at]]
                     pairs = [
                         (values[at], words[at + shift].strip(OUTER).lower()) for at in slot_at

@@ -281,6 +281,14 @@ def test_slot_dense_and_short_items_are_found_verbatim():
         assert leaks(item, f"see: {item} and more", item, "Solve 4 + 1 - 9 * 8 and 1 2 3") == [True, True, False]
 
 
+def test_names_that_open_sentences_are_slots():
+    pens = "Anna has 12 pens. Ben has 7 pens. Carl buys 5 pens. How many pens are there in the room?"
+    other = pens.replace("Anna", "Dora").replace("Ben", "Emil").replace("Carl", "Fritz")
+    assert leaks(pens, other, other.replace("How", "how"), other.replace("12", "3")) == [True] * 3
+    capital = "What is the capital of France?"
+    assert leaks(capital, f"Question 12\n{capital}", f"so {capital.lower()}") == [True, True]
+
+
 # substring dedup ---------------------------------------------------------------------------
 
 
