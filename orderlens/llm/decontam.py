@@ -6,7 +6,8 @@ benchmark items form a hash index; documents look up each of their windows. Matc
 of an item must fill its slots consistently: one document value for each item value of a type and
 the reverse. So a question with other numbers or names is still found, and a text that only
 shares a pattern is not. A document is contaminated by an item when consistent windows cover
-at least ``MIN_SHARE`` of the item's tokens (and ``WINDOW`` of them, or all of a shorter item).
+at least ``MIN_SHARE`` of the item's tokens (and ``WINDOW`` of them, or all of a shorter item), or
+``PASSAGE`` consecutive tokens of an item of any length.
 
 The index is built for blocks of at most ``BLOCK_CHARS`` characters of benchmark text, which bounds
 what is sent to the tasks; a larger benchmark is matched block by block.
@@ -42,6 +43,7 @@ from orderlens.llm import packed
 WINDOW = 10
 MIN_TOKENS = 5
 MIN_SHARE = 0.5
+PASSAGE = 13
 BLOCK_CHARS = 8 << 20
 OUTER = "\"'`.,;:!?()[]{}<>«»„“”‘’¿¡…-–—*_"
 UNITS = frozenset(
@@ -191,10 +193,11 @@ class Index:
         found = []
         for number, shifts in hits.items():
             item_id, width, values, slots = self.items[number]
-            covered, changed, places = set(), 0, []
+            covered, changed, places, longest = set(), 0, [], 0
             for shift, starts in shifts.items():
                 forward: dict[str, str] = {}
                 backward: dict[str, str] = {}
+                low = high = -1
                 for start in sorted(set(starts)):
                     slot_at = [at for at in range(start, start + width) if slots[at]]
                     pairs = [
@@ -207,8 +210,10 @@ class Index:
                         backward.update((b, a) for a, b in pairs)
                         covered.update(range(start, start + width))
                         places.append(start + shift)
+                        low, high = (low if start <= high else start), start + width
+                        longest = max(longest, high - low)
                 changed += sum(a != b for a, b in forward.items())
-            if len(covered) >= max(width, math.ceil(MIN_SHARE * len(values))):
+            if longest >= PASSAGE or len(covered) >= max(width, math.ceil(MIN_SHARE * len(values))):
                 last = max(places) + width - 1
                 found.append((item_id, len(values), len(covered), changed, min(places), last))
         return found

@@ -289,6 +289,14 @@ def test_names_that_open_sentences_are_slots():
     assert leaks(capital, f"Question 12\n{capital}", f"so {capital.lower()}") == [True, True]
 
 
+def test_long_passages_of_longer_items_are_found():
+    for length, quoted in ((59, 25), (200, 90), (500, 13)):
+        item = prose(length, length).split()
+        passage = " ".join(item[5 : 5 + quoted])
+        assert leaks(" ".join(item), f"{prose(1, 80)} {passage} {prose(2, 80)}", prose(3, 200)) == [True, False]
+    assert leaks(" ".join(item), " ".join(item[5:17])) == [False]
+
+
 # substring dedup ---------------------------------------------------------------------------
 
 
