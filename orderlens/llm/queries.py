@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
+    bpe_counts,
     chat,
     decontam,
     line_dedup,
     mixing,
     ngram_join,
     quality,
+    repair,
     sharding,
     substring,
     toxicity,
@@ -26,6 +29,9 @@ from orderlens.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+TOKENIZER = "piece_bpe_32k.model"
+MAX_TOKENS = 4096
+EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
 def op1_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,6 +180,52 @@ def op10_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with faults planted by a hash of their conversation and number."""
+    blank = F.lit(" ")
+    name = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), blank),
+        F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), blank),
+    )
+    kind = F.crc32(name.cast("binary")) % 20
+    role = F.coalesce("role", blank)
+    text = F.coalesce("text", blank)
+    return (
+        conversations.withColumn("_kind", kind)
+        .filter("_kind <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("_kind") == 4, F.lit("user")).otherwise(role).alias("role"),
+            F.when(F.col("_kind") == 1, F.lit(""))
+            .when(F.col("_kind") == 2, F.translate(text, ".!?", ""))
+            .otherwise(text)
+            .alias("text"),
+            F.explode(F.array_repeat(F.lit(1), F.when(F.col("_kind") == 3, 2).otherwise(1))).alias(
+                "_copy"
+            ),
+        )
+        .drop("_copy")
+    )
+
+
+def op11_cyk_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns = damaged(conversations)
+    summary = stage(repair.summaries(turns, conversations, stage), "repair-summaries")
+    hashed = repair.digests(repair.repaired_turns(turns, summary))
+    joined = summary.join(hashed, summary["conv_id"].eqNullSafe(hashed["of_conv"]), "left")
+    return joined.select(
+        *summary.columns, F.coalesce("digest", F.lit(EMPTY_SHA256)).alias("repaired_sha256")
+    )
+
+
+def op13_heap_bpe_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return bpe_counts.token_counts(docs, public_tokenizers.path(TOKENIZER), MAX_TOKENS)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sampled_splitters": op1_sampled_splitters,
@@ -186,4 +238,6 @@ def queries() -> dict[str, Query]:
         "op8_classifier_chain": op8_classifier_chain,
         "op9_mixing_tree": op9_mixing_tree,
         "op10_distribution_divergence": op10_distribution_divergence,
+        "op11_cyk_repair": op11_cyk_repair,
+        "op13_heap_bpe_counts": op13_heap_bpe_counts,
     }
