@@ -15,6 +15,7 @@ from orderlens.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    prefix_trie,
     quality,
     repair,
     sharding,
@@ -221,6 +222,27 @@ def op11_cyk_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rebuilt(keys: DataFrame) -> DataFrame:
+    """Up to three first turns come from the conversation whose id is the multiple of 20 below."""
+    heads = keys.filter("conv_id % 20 = 0").select(
+        F.col("conv_id").alias("base"), F.slice("keys", 1, 3).alias("head")
+    )
+    kept = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    joined = keys.join(heads, F.col("conv_id") - F.col("conv_id") % 20 == F.col("base"), "left")
+    begun = F.when(F.col("head").isNull(), F.slice("keys", 1, 0)).otherwise(
+        F.slice("head", F.lit(1), kept.cast("int"))
+    )
+    own = F.slice("keys", kept.cast("int") + 1, F.size("keys"))
+    return joined.select("conv_id", F.concat(begun, own).alias("keys"))
+
+
+def op12_parentheses_trie(spark: SparkSession, folder: str) -> DataFrame:
+    keys = stage(
+        prefix_trie.conversation_keys(read_table(spark, folder, "conversations")), "trie-keys"
+    )
+    return prefix_trie.trie_nodes(rebuilt(keys), stage)
+
+
 def op13_heap_bpe_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return bpe_counts.token_counts(docs, public_tokenizers.path(TOKENIZER), MAX_TOKENS)
@@ -239,5 +261,6 @@ def queries() -> dict[str, Query]:
         "op9_mixing_tree": op9_mixing_tree,
         "op10_distribution_divergence": op10_distribution_divergence,
         "op11_cyk_repair": op11_cyk_repair,
+        "op12_parentheses_trie": op12_parentheses_trie,
         "op13_heap_bpe_counts": op13_heap_bpe_counts,
     }

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orderlens.llm import bpe_counts, queries, repair
+from orderlens.llm import bpe_counts, prefix_trie, queries, repair
 from orderlens.scratch import stage
 
 SCHEMA = "conv_id long, turn long, role string, text string, place long, audit string, n_rows int"
@@ -36,7 +37,7 @@ def sample_conversations():
     rows += [(502, None, None, None), (502, None, "user", ""), (502, 3, "tool", "z!"), (502, 9, "", "?")]
     rows += [(503, 2, "user", "same."), (503, 2, "user", "same."), (503, 2, "user", "same.")]
     rows += [(504, None, "assistant", "é."), (505, None, None, " \t")]
-    rows += [(conv, 0, "user", "alone.") for conv in range(600, 640)]
+    rows += [(conv, 0, "user", "alone.") for conv in range(600, 760)]
     rows += [(None, 0, "user", "no id."), (None, 1, "assistant", "none.")]
     return rows
 
@@ -207,6 +208,84 @@ def test_repaired_turns_alternate(spark):
     assert len(found[500]) > 2 * repair.PART
 
 
+def expected_nodes(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            keyed = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()[: prefix_trie.KEY]
+            turns[conv].append(((turn is not None, turn or 0, keyed), (role, text)))
+    original = {conv: [one for _, one in sorted(found)] for conv, found in turns.items()}
+    built = {}
+    for conv, own in original.items():
+        kept = zlib.crc32(str(conv).encode()) % 4
+        built[conv] = tuple(original.get(conv - conv % 20, [])[:kept] + own[kept:])
+    members = defaultdict(list)
+    for conv, path in built.items():
+        for depth in range(len(path) + 1):
+            members[path[:depth]].append(conv)
+    out = []
+    for node, convs in members.items():
+        depth = len(node)
+        below = [other for other in members if other[:depth] == node]
+        parents = {other[:-1] for other in below if other}
+        ends = sorted(conv for conv in convs if len(built[conv]) == depth)
+        saved = sum(
+            (len(members[other]) - 1) * len(WORD.findall(other[-1][1])) for other in below if other
+        )
+        out.append(
+            (
+                min(convs),
+                depth,
+                min(members[node[:-1]]) if node else None,
+                len(convs),
+                sum(len(other) == depth + 1 for other in below),
+                sum(other not in parents for other in below),
+                saved,
+                hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("shard_nodes", [prefix_trie.SHARD_NODES, 60, 4, 1])
+def test_trie_matches_brute_force(spark, tmp_path, monkeypatch, shard_nodes):
+    rows = sample_conversations()
+    # Copies, one conversation that begins others, and a deep chain that others share in part.
+    rows += [(conv, turn, "user", f"copy {turn}") for conv in range(1000, 1030) for turn in range(4)]
+    rows += [(conv, turn, "user", f"step {turn}") for conv in range(1100, 1106) for turn in range(40 + conv % 7)]
+    monkeypatch.setattr(prefix_trie.trie_nodes, "__defaults__", (shard_nodes,))
+    folder = in_folder(spark, tmp_path, "conversations", frame(spark, rows))
+    got = sorted(map(tuple, queries.op12_parentheses_trie(spark, folder).collect()), key=str)
+    assert got == expected_nodes(rows)
+
+
+def test_trie_of_nothing(spark, tmp_path):
+    folder = in_folder(spark, tmp_path, "conversations", frame(spark, []))
+    assert queries.op12_parentheses_trie(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("bias", [-0.5, 0.0, 0.3, 3.0])
+def test_closing_parentheses(bias):
+    """Random trees, wide and deep enough for many levels of block minima."""
+    dice = random.Random(5)
+    opens, way = [True], 0
+    for _ in range(6000):
+        depth = max(1, min(way + 1, way + 1 - int(dice.expovariate(1.0) - bias)))
+        opens += [False] * (way - depth + 1) + [True]
+        way = depth
+    opens += [False] * (way + 1)
+    waiting, expected = [], {}
+    for at, is_open in enumerate(opens):
+        if is_open:
+            waiting.append(at)
+        else:
+            expected[waiting.pop()] = at
+    string = prefix_trie.Parentheses(prefix_trie.np.array(opens))
+    at = prefix_trie.np.flatnonzero(opens)
+    assert string.find_close(at).tolist() == [expected[one] for one in at.tolist()]
+
+
 @pytest.fixture(scope="module")
 def model():
     return public_tokenizers.path(queries.TOKENIZER)
