@@ -48,7 +48,7 @@ class RunConfig:
     boosting_rate: float = 0.07
     boosting_depth: int = 5
     boosting_min_leaf: int = 30
-    early_stopping_rows: int = 10_000
+    boosting_patience: int = 10
     early_stopping_tolerance: float = 1e-7
 
     def last_grid_index(self) -> int:

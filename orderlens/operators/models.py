@@ -5,10 +5,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -19,11 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.config import EARLY_STOPPING_SHARE, RunConfig
+from orderlens.operators.ranking import exact_medians
 from orderlens.operators.snapshots import CATEGORICAL_FEATURES
 from orderlens.scratch import shared_folder, stage
 
 MODEL_NAMES = ("logistic_regression", "gradient_boosting")
 _CHECKPOINT_EVERY = 10
+_FIRST_ROUNDS = 16
+_FITS_AT_ONCE = 6
 
 
 def numeric_names(features: list[str]) -> list[str]:
@@ -34,13 +37,33 @@ def categorical_names(features: list[str]) -> list[str]:
     return [name for name in CATEGORICAL_FEATURES if name in features]
 
 
-def numeric_stages(features: list[str]) -> list:
+class MedianFill(Transformer):
+    """Numeric features as doubles with missing values replaced; none known means 0."""
+
+    def __init__(self, features: list[str], medians: dict[str, float]):
+        super().__init__()
+        self.features = features
+        self.medians = medians
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        missing = F.lit(None).cast("double")
+        return dataset.withColumns(
+            {
+                f"{name}_filled": F.coalesce(
+                    F.nanvl(F.col(name).cast("double"), missing),
+                    F.lit(self.medians.get(name, 0.0)),
+                )
+                for name in numeric_names(self.features)
+            }
+        )
+
+
+def numeric_stages(frame: DataFrame, features: list[str]) -> list:
     """Median imputation, then zero mean and unit variance, into ``numeric``."""
     names = numeric_names(features)
-    filled = [f"{name}_filled" for name in names]
     return [
-        Imputer(strategy="median", inputCols=names, outputCols=filled, relativeError=0.0),
-        VectorAssembler(inputCols=filled, outputCol="numeric_filled"),
+        MedianFill(features, exact_medians(frame, names)),
+        VectorAssembler(inputCols=[f"{name}_filled" for name in names], outputCol="numeric_filled"),
         StandardScaler(
             withMean=True, withStd=True, inputCol="numeric_filled", outputCol="numeric"
         ),
@@ -78,27 +101,25 @@ def most_frequent_values(frame: DataFrame, features: list[str]) -> dict[str, str
     return {name: modes[name] for name in names if modes[name] is not None}
 
 
-class NumericDoubles(Transformer):
-    """Cast numeric features to double and fill missing categories."""
+class CategoryFill(Transformer):
+    """Missing categories replaced by their most frequent value."""
 
-    def __init__(self, features: list[str], fills: dict[str, str]):
+    def __init__(self, fills: dict[str, str]):
         super().__init__()
-        self.features = features
         self.fills = fills
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        casts = {name: F.col(name).cast("double") for name in numeric_names(self.features)}
-        filled = {name: F.coalesce(name, F.lit(v)) for name, v in self.fills.items()}
-        return dataset.withColumns(casts | filled)
+        return dataset.withColumns(
+            {name: F.coalesce(name, F.lit(value)) for name, value in self.fills.items()}
+        )
 
 
 def fit_preprocessing(frame: DataFrame, features: list[str]) -> PipelineModel:
     """Fitted preparation of ``features`` into one dense-or-sparse vector ``features``."""
-    prepare = NumericDoubles(features, most_frequent_values(frame, features))
     parts = ["numeric"] + (["categorical"] if categorical_names(features) else [])
     stages = [
-        prepare,
-        *numeric_stages(features),
+        CategoryFill(most_frequent_values(frame, features)),
+        *numeric_stages(frame, features),
         *categorical_stages(features),
         VectorAssembler(inputCols=parts, outputCol="features"),
     ]
@@ -136,14 +157,10 @@ def _logistic(rows: int, binary: bool, config: RunConfig) -> LogisticRegression:
     )
 
 
-def _boosting(rows: int, config: RunConfig) -> GBTClassifier:
-    """Boosted trees; on larger tables a held-out share of the rows ends the rounds.
-
-    Rounds stop when the held-out loss no longer falls by more than the tolerance.
-    """
-    estimator = GBTClassifier(
+def _boosting(rounds: int, config: RunConfig) -> GBTClassifier:
+    return GBTClassifier(
         stepSize=config.boosting_rate,
-        maxIter=config.boosting_rounds,
+        maxIter=rounds,
         maxDepth=config.boosting_depth,
         minInstancesPerNode=config.boosting_min_leaf,
         maxBins=255,
@@ -151,22 +168,78 @@ def _boosting(rows: int, config: RunConfig) -> GBTClassifier:
         weightCol="weight",
         seed=config.seed,
     )
-    if rows > config.early_stopping_rows:
-        estimator.setValidationIndicatorCol("held_out")
-        estimator.setParams(validationTol=config.early_stopping_tolerance)
-    return estimator
+
+
+def best_round(losses: list[float], patience: int, tolerance: float) -> tuple[int, bool]:
+    """Best round (from 1) by held-out loss, and whether patience ran out after it.
+
+    A round counts as better only if its loss is lower by more than ``tolerance``.
+    """
+    best, at = float("inf"), 0
+    for number, loss in enumerate(losses, 1):
+        if loss < best - tolerance:
+            best, at = loss, number
+        elif number - at >= patience:
+            return at, True
+    return at, False
+
+
+@dataclass(frozen=True)
+class BoostedFit:
+    """A boosted model cut at its best round, and the held-out loss of all rounds tried."""
+
+    model: GBTClassificationModel
+    losses: list[float]
+
+
+def _cut(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The ensemble of the first ``rounds`` trees."""
+    if rounds >= model.getNumTrees:
+        return model
+    java, jvm = model._java_obj, SparkContext._active_spark_context._jvm
+    make = SparkContext._gateway.new_array
+    trees = make(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = make(jvm.double, rounds)
+    for at in range(rounds):
+        trees[at], weights[at] = java.trees()[at], java.treeWeights()[at]
+    shorter = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights
+    )
+    return GBTClassificationModel(shorter)
+
+
+def _fit_boosting(rows: DataFrame, config: RunConfig) -> BoostedFit:
+    """Boosting that stops after ``boosting_patience`` rounds without a lower held-out loss.
+
+    The held-out customers judge every round and train none, at every size of the table. Rounds
+    are tried in growing numbers (fits repeat the same first trees), and the ensemble is cut at the
+    best one. Without held-out rows all rounds are kept.
+    """
+    train, judged = rows.filter("not held_out"), rows.filter("held_out")
+    if judged.isEmpty() or train.isEmpty():
+        return BoostedFit(_boosting(config.boosting_rounds, config).fit(rows), [])
+    rounds = min(_FIRST_ROUNDS, config.boosting_rounds)
+    while True:
+        model = _boosting(rounds, config).fit(train)
+        losses = list(model.evaluateEachIteration(judged))
+        best, ended = best_round(
+            losses, config.boosting_patience, config.early_stopping_tolerance
+        )
+        if ended or rounds >= config.boosting_rounds or len(losses) < rounds:
+            return BoostedFit(_cut(model, max(1, best)), losses)
+        rounds = min(2 * rounds, config.boosting_rounds)
 
 
 class BoostedPerClass:
     """One boosted model per class; adds their margins as the array ``margins``."""
 
-    def __init__(self, models: list):
-        self.models = models
+    def __init__(self, fits: list[BoostedFit]):
+        self.fits = fits
 
     def transform(self, frame: DataFrame) -> DataFrame:
         margins = []
-        for at, model in enumerate(self.models):
-            shown = model.copy()
+        for at, fit in enumerate(self.fits):
+            shown = fit.model.copy()
             shown.setRawPredictionCol(f"raw_{at}").setPredictionCol("").setProbabilityCol("")
             frame = shown.transform(frame)
             margins.append(F.element_at(vector_to_array(f"raw_{at}"), 2))
@@ -174,20 +247,21 @@ class BoostedPerClass:
 
 
 def _fit_per_class(data, config: RunConfig) -> BoostedPerClass:
-    """Each class against the rest; three fits run side by side on the staged vectors."""
+    """Each class against the rest; the fits run side by side on the staged vectors."""
 
-    def fit(at: int):
+    def fit(at: int) -> BoostedFit:
         rows = data.vectors.withColumn("label", (F.col("label") == float(at)).cast("double"))
-        return _boosting(data.rows, config).fit(rows)
+        return _fit_boosting(rows, config)
 
-    with ThreadPoolExecutor(3) as pool:
+    with ThreadPoolExecutor(_FITS_AT_ONCE) as pool:
         return BoostedPerClass(list(pool.map(fit, range(len(data.labels)))))
 
 
 class FittedClassifier:
     """Preprocessing plus classifier; adds probabilities in the requested class order."""
 
-    def __init__(self, preprocessing, model, labels: list, one_vs_rest: bool):
+    def __init__(self, preprocessing, model, labels: list, one_vs_rest: bool, fits: list = ()):
+        self.fits = fits
         self.preprocessing = preprocessing
         self.model = model
         self.labels = labels
@@ -242,7 +316,13 @@ def prepare_training(
 
     Every candidate and every boosting round reads the staged vectors.
     """
-    labeled = frame.filter(F.col(label).isNotNull()).select(*features, label)
+    # Whole customers are held out: rows of one customer resemble each other.
+    held_out = F.pmod(F.xxhash64("customer_id"), F.lit(1000)) < F.lit(
+        int(1000 * EARLY_STOPPING_SHARE)
+    )
+    labeled = frame.filter(F.col(label).isNotNull()).select(
+        *features, label, F.coalesce(held_out, F.lit(False)).alias("held_out")
+    )
     preprocessing = fit_preprocessing(labeled, features)
     if binary:
         labels = [0, 1]
@@ -253,15 +333,14 @@ def prepare_training(
             F.array_position(F.array(*[F.lit(value) for value in labels]), F.col(label)) - 1
         ).cast("double")
     vectors = stage(
-        preprocessing.transform(labeled).select("features", position.alias("label")), "vectors"
+        preprocessing.transform(labeled).select(
+            "features", position.alias("label"), "held_out"
+        ),
+        "vectors",
     )
     rows = vectors.count()
     weight = _balance(vectors) if binary else F.lit(1.0)
-    # A hash of the row itself holds it out, so every rerun and every candidate agree.
-    held_out = F.pmod(F.xxhash64(vector_to_array("features"), "label"), F.lit(1000)) < F.lit(
-        int(1000 * EARLY_STOPPING_SHARE)
-    )
-    prepared = vectors.withColumns({"weight": weight, "held_out": held_out})
+    prepared = vectors.withColumn("weight", weight)
     return TrainingSet(preprocessing, prepared, labels, rows, binary)
 
 
@@ -270,13 +349,21 @@ def fit_classifier(name: str, data: TrainingSet, config: RunConfig) -> FittedCla
     if name not in MODEL_NAMES:
         raise ValueError(f"Unknown model: {name}")
     shared_folder(data.vectors.sparkSession)
-    multiclass_boosting = name != "logistic_regression" and not data.binary
     if name == "logistic_regression":
-        estimator = _logistic(data.rows, data.binary, config)
-    elif data.binary:
-        estimator = _boosting(data.rows, config)
-    else:
-        model = _fit_per_class(data, config)
-        return FittedClassifier(data.preprocessing, model, data.labels, multiclass_boosting)
-    model = estimator.fit(data.vectors)
-    return FittedClassifier(data.preprocessing, model, data.labels, multiclass_boosting)
+        model = _logistic(data.rows, data.binary, config).fit(data.vectors)
+        return FittedClassifier(data.preprocessing, model, data.labels, one_vs_rest=False)
+    if data.binary:
+        fit = _fit_boosting(data.vectors, config)
+        return FittedClassifier(data.preprocessing, fit.model, data.labels, False, [fit])
+    model = _fit_per_class(data, config)
+    return FittedClassifier(data.preprocessing, model, data.labels, True, model.fits)
+
+
+def boosting_rounds(model: FittedClassifier) -> list[tuple[str, int, float, int]]:
+    """(class, round, held-out loss, rounds kept) of a boosted candidate."""
+    classes = [str(label) for label in model.labels] if model.one_vs_rest else [str(model.labels[1])]
+    return [
+        (label, number, float(loss), fit.model.getNumTrees)
+        for label, fit in zip(classes, model.fits)
+        for number, loss in enumerate(fit.losses, 1)
+    ]

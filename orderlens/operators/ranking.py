@@ -124,3 +124,73 @@ def grouped_median(frame: DataFrame, group: str, value: str, result: str) -> Dat
             / F.lit(2.0)
         ).alias(result)
     )
+
+
+_RANGES = 512
+
+
+def exact_medians(frame: DataFrame, names: list[str]) -> dict[str, float]:
+    """Exact median of each column over its values; columns without a value are left out.
+
+    A selection for all columns at once: each pass counts the values of a column that lie in its
+    current range, split into equal steps, and keeps the step that holds the middle. Only counts per
+    step are shuffled, and the driver sees at most ``_RANGES`` rows per column, however many rows
+    there are. The ends of a step are values that occur, so each pass parts the least from the
+    greatest and the search ends. NaN counts as missing.
+    """
+    values = [F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")) for name in names]
+    ends = frame.agg(
+        *[F.struct(F.count(v), F.min(v), F.max(v)).alias(str(at)) for at, v in enumerate(values)]
+    ).first()
+    # Per column: rows before the range, its ends, and the two middle positions.
+    open_ranges = {
+        at: (0, low, high, (rows + 1) // 2, rows // 2 + 1)
+        for at, (rows, low, high) in enumerate(ends)
+        if rows
+    }
+    found: dict[str, float] = {}
+    long = F.explode(
+        F.array(*[F.struct(F.lit(at).alias("at"), v.alias("value")) for at, v in enumerate(values)])
+    )
+    while True:
+        for at, (_, low, high, _, _) in list(open_ranges.items()):
+            if low == high:
+                found[names[at]] = low
+                del open_ranges[at]
+        if not open_ranges:
+            return found
+
+        def bound(which: int) -> Column:
+            edges = [open_ranges[at][which] if at in open_ranges else None for at in range(len(names))]
+            return F.get(F.array(*[F.lit(edge).cast("double") for edge in edges]), F.col("at"))
+
+        counts = (
+            frame.select(long.alias("one"))
+            .select("one.*")
+            .filter((F.col("value") >= bound(1)) & (F.col("value") <= bound(2)))
+            .withColumn(
+                "step",
+                F.least(
+                    F.floor((F.col("value") - bound(1)) / (bound(2) - bound(1)) * _RANGES),
+                    F.lit(_RANGES - 1),
+                ),
+            )
+            .groupBy("at", "step")
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .orderBy("at", "step")
+            .collect()
+        )
+        narrowed: dict[int, tuple] = {}
+        passed = {at: state[0] for at, state in open_ranges.items()}
+        below: dict[int, float] = {}
+        for at, _, rows, low, high in counts:
+            before, first, second = passed[at], *open_ranges[at][3:]
+            passed[at] = before + rows
+            if before < first <= passed[at] and second <= passed[at]:
+                narrowed[at] = (before, low, high, first, second)
+            elif before < first <= passed[at]:
+                below[at] = high
+            elif before < second <= passed[at]:
+                # The middle falls between two steps: the ends of both are the middle values.
+                found[names[at]] = (below[at] + low) / 2.0
+        open_ranges = narrowed

@@ -405,7 +405,7 @@ def preprocess_numeric(spark: SparkSession, folder: str) -> DataFrame:
         {name: F.when(known, F.col(name)) for name in features}
     )
     fitted = models.fit_preprocessing(train, features)
-    medians, scale = fitted.stages[1].surrogateDF.first(), fitted.stages[3]
+    medians, scale = fitted.stages[1].medians, fitted.stages[3]
     rows = [
         (name, float(medians[name]), float(scale.mean[at]), float(scale.std[at]))
         for at, name in enumerate(features)
@@ -445,6 +445,16 @@ def _fitted(spark: SparkSession, folder: str, name: str, label: str, binary: boo
     return models.fit_classifier(name, data, RUN)
 
 
+def boosting_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out loss of every boosting round tried, and the round where the ensemble is cut."""
+    rows = []
+    for task, label, binary in (("next_category", LABEL, False), ("purchase_readiness_30d", BOUGHT, True)):
+        model = _fitted(spark, folder, "gradient_boosting", label, binary)
+        rows += [(task, *row) for row in models.boosting_rounds(model)]
+    schema = "task string, class string, round long, held_out_loss double, rounds_kept long"
+    return spark.createDataFrame(rows, schema)
+
+
 def _readiness_query(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         model = _fitted(spark, folder, name, BOUGHT, binary=True)
@@ -782,6 +792,7 @@ QUERIES: dict[str, Query] = {
     "category_lr": _category_query("logistic_regression"),
     "readiness_gbt": _readiness_query("gradient_boosting"),
     "category_gbt": _category_query("gradient_boosting"),
+    "boosting_rounds": boosting_rounds,
     "aligned_probabilities": aligned_probabilities,
     "category_comparison_baselines": category_comparison_baselines,
     "category_comparison": lambda s, d: _compared(s, d, "category"),

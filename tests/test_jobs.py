@@ -106,7 +106,7 @@ def test_score_date_forms():
 
 def test_history_needs_rows_and_three_categories(history):
     empty, _ = score_job.split_history(history, "1990-01-01")
-    with pytest.raises(ContractError, match="before score_date"):
+    with pytest.raises(ContractError, match="history is empty"):
         score_job.class_list(empty)
     with pytest.raises(ContractError, match="three"):
         score_job.class_list(history.filter(F.col("category").isin("Books", "Music")))
