@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import config as fixed
-from orderlens.operators.ranking import global_rank, running_totals
+from orderlens.operators.ranking import global_rank, running_totals, running_totals_by
 from orderlens.operators.ranking_metrics import EPSILON
 from orderlens.scratch import stage
 
@@ -119,3 +119,91 @@ def binary_metrics(frame: DataFrame, label: str, score: str, ties: list[str]) ->
         "recall_at_top_20pct",
         "lift_at_top_20pct",
     ).select("curve.*", "quality.*", "recall_at_top_20pct", "lift_at_top_20pct")
+
+
+def binary_metrics_by(
+    frame: DataFrame, group: str, label: str, score: str, ties: list[str]
+) -> DataFrame:
+    """All binary metrics of each group, one row a group; no group meets in one task.
+
+    Scores collapse to one row per (group, value), running totals cross blocks, and only rows that
+    share the score at their group's cut are placed one by one.
+    """
+    collapsed = frame.groupBy(group, F.col(score).alias("score")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col(label).cast("long")).alias("positives"),
+    )
+    curve = stage(
+        running_totals_by(collapsed, group, [F.col("score").desc()], ["rows", "positives"]), "curves"
+    )
+    sizes = curve.groupBy(group).agg(
+        F.sum("rows").alias("total"),
+        F.sum("positives").alias("total_positives"),
+        average_precision_column().alias("average_precision"),
+        roc_auc_column().alias("roc_auc"),
+    )
+    wanted = F.greatest(
+        F.lit(1), F.ceil(F.lit(fixed.TOP_SHARE) * F.col("total").cast("double"))
+    ).cast("long")
+    sizes = stage(
+        sizes.withColumn("wanted", wanted).withColumnRenamed(group, "_of_group"), "group-sizes"
+    )
+    cut = curve.join(sizes, F.col(group).eqNullSafe(F.col("_of_group"))).filter(
+        (F.col("cum_rows") >= F.col("wanted"))
+        & (F.col("cum_rows") - F.col("rows") < F.col("wanted"))
+    )
+    cut = cut.select(
+        "_of_group",
+        F.col("score").alias("_cut"),
+        (F.col("cum_positives") - F.col("positives")).alias("_above"),
+        (F.col("wanted") - (F.col("cum_rows") - F.col("rows"))).alias("_remaining"),
+    )
+    cut = stage(cut, "group-cuts")
+    tied = frame.join(
+        cut, F.col(group).eqNullSafe(F.col("_of_group")) & (F.col(score) == F.col("_cut"))
+    ).select(
+        F.col(group).alias("_tied_group"),
+        F.col(label).cast("long").alias("_label"),
+        "_remaining",
+        F.lit(1).cast("long").alias("_one"),
+        *ties,
+    )
+    placed = running_totals_by(tied, "_tied_group", [F.col(name) for name in ties], ["_one"])
+    captured = (
+        placed.filter(F.col("cum__one") <= F.col("_remaining"))
+        .groupBy("_tied_group")
+        .agg(F.sum("_label").alias("_captured"))
+    )
+    calibration = frame.groupBy(F.col(group).alias("_seen_group")).agg(
+        F.avg(F.col(score).cast("double")).alias("average_score"),
+        F.avg(F.col(label).cast("double")).alias("observed_rate"),
+        brier_column(label, score).alias("brier_score"),
+        log_loss_column(label, score).alias("log_loss"),
+    )
+    joined = (
+        calibration.join(sizes, F.col("_seen_group").eqNullSafe(F.col("_of_group")))
+        .join(
+            cut.select(F.col("_of_group").alias("_cut_group"), "_above"),
+            F.col("_seen_group").eqNullSafe(F.col("_cut_group")),
+            "left",
+        )
+        .join(captured, F.col("_seen_group").eqNullSafe(F.col("_tied_group")), "left")
+    )
+    top = (F.coalesce("_above", F.lit(0)) + F.coalesce("_captured", F.lit(0))).cast("double")
+    positives = F.col("total_positives").cast("double")
+    base = F.try_divide(positives, F.col("total").cast("double"))
+    return joined.select(
+        F.col("_seen_group").alias(group),
+        F.col("total").alias("snapshots"),
+        "average_precision",
+        "roc_auc",
+        "brier_score",
+        "log_loss",
+        F.coalesce(F.try_divide(top, positives), F.lit(0.0)).alias("recall_at_top_20pct"),
+        F.coalesce(
+            F.try_divide(F.try_divide(top, F.col("wanted").cast("double")), base), F.lit(0.0)
+        ).alias("lift_at_top_20pct"),
+        "average_score",
+        "observed_rate",
+        (F.col("average_score") - F.col("observed_rate")).alias("calibration_gap"),
+    )

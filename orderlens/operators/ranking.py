@@ -75,6 +75,47 @@ def running_totals(frame: DataFrame, order: list[Column], names: list[str]) -> D
     )
 
 
+def running_totals_by(
+    frame: DataFrame, group: str, order: list[Column], names: list[str]
+) -> DataFrame:
+    """The same within each ``group``, however large a group is.
+
+    Blocks are ranges over (group, order), so a group may span many blocks and a block may hold
+    many groups; one small row per (group, block) carries the totals before it.
+    """
+    placed = stage(
+        frame.repartitionByRange(F.col(group), *order).withColumn(
+            "_block", F.spark_partition_id().cast("long")
+        ),
+        "running",
+    )
+    earlier = (
+        Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    totals = placed.groupBy(group, "_block").agg(*[F.sum(name).alias(name) for name in names])
+    offsets = totals.select(
+        F.col(group).alias("_of_group"),
+        F.col("_block").alias("_of_block"),
+        *[
+            F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}")
+            for name in names
+        ],
+    )
+    up_to_here = (
+        Window.partitionBy("_block", group)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    same = F.col(group).eqNullSafe(F.col("_of_group")) & (F.col("_block") == F.col("_of_block"))
+    return placed.join(offsets, same).select(
+        *frame.columns,
+        *[
+            (F.col(f"_before_{name}") + F.sum(name).over(up_to_here)).alias(f"cum_{name}")
+            for name in names
+        ],
+    )
+
+
 def grouped_median(frame: DataFrame, group: str, value: str, result: str) -> DataFrame:
     """Exact median of ``value`` per group, whatever the size of a group.
 

@@ -725,6 +725,29 @@ def metrics_by_score_month(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def readiness_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    return monitoring.readiness_by_score_month(
+        _validation_readiness(spark, folder), BOUGHT, "readiness", comparison.TIES
+    )
+
+
+def quality_decline(spark: SparkSession, folder: str) -> DataFrame:
+    """The decline condition for both tasks, from the published metrics of the validation months."""
+    readiness = monitoring.decline_by_month(
+        published(readiness_by_month(spark, folder)),
+        ["average_precision", "roc_auc", "lift_at_top_20pct"],
+        ["brier_score"],
+    )
+    category = monitoring.decline_by_month(
+        published(metrics_by_score_month(spark, folder)),
+        ["top_3_hit_rate", "mean_reciprocal_rank"],
+        ["log_loss"],
+    )
+    return readiness.withColumn("task", F.lit("purchase_readiness_30d")).unionByName(
+        category.withColumn("task", F.lit("next_category"))
+    )
+
+
 def coverage_gap(spark: SparkSession, folder: str) -> DataFrame:
     return monitoring.coverage_gap(per_category_recall(spark, folder))
 
@@ -834,6 +857,8 @@ QUERIES: dict[str, Query] = {
     "sensitive_by_label": sensitive_by_label,
     "transaction_quality": transaction_quality,
     "metrics_by_score_month": metrics_by_score_month,
+    "readiness_by_month": readiness_by_month,
+    "quality_decline": quality_decline,
     "coverage_gap": coverage_gap,
     "priority_concentration": lambda s, d: monitoring.priority_concentration(_queue(s, d)),
     "calibration_table": calibration_table,

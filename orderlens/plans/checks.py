@@ -294,6 +294,87 @@ CTES: dict[str, str] = {
         SELECT CAST(sum(y) FILTER (place <= wanted) AS DOUBLE) / sum(y) AS recall_at_top_20pct,
             (CAST(sum(y) FILTER (place <= wanted) AS DOUBLE) / max(wanted))
                 / (CAST(sum(y) AS DOUBLE) / count(*)) AS lift_at_top_20pct FROM placed""",
+    "mready": """
+        SELECT *, CAST(date_trunc('month', score_date) AS DATE) AS score_month FROM vready""",
+    "mcurve": """
+        SELECT score_month, readiness, count(*) AS n, sum(purchase_within_30d) AS pos FROM mready
+        GROUP BY score_month, readiness""",
+    "msteps": """
+        SELECT *, sum(n) OVER (PARTITION BY score_month ORDER BY readiness DESC) AS cum_n,
+            sum(pos) OVER (PARTITION BY score_month ORDER BY readiness DESC) AS cum_pos,
+            sum(n - pos) OVER (PARTITION BY score_month) AS negatives
+        FROM mcurve""",
+    "mplaced": """
+        SELECT score_month, purchase_within_30d AS y,
+            row_number() OVER (PARTITION BY score_month
+                ORDER BY readiness DESC, score_date, customer_id) AS place,
+            greatest(1, CAST(ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY score_month))
+                AS BIGINT)) AS wanted
+        FROM mready""",
+    "mcapacity": """
+        SELECT score_month,
+            coalesce(CAST(sum(y) FILTER (place <= wanted) AS DOUBLE) / nullif(sum(y), 0), 0)
+                AS recall_at_top_20pct,
+            coalesce((CAST(sum(y) FILTER (place <= wanted) AS DOUBLE) / max(wanted))
+                / (CAST(nullif(sum(y), 0) AS DOUBLE) / count(*)), 0) AS lift_at_top_20pct
+        FROM mplaced GROUP BY score_month""",
+    "mdiscrimination": """
+        SELECT score_month,
+            coalesce(sum(CAST(pos AS DOUBLE) * cum_pos / cum_n) / nullif(sum(pos), 0), 0)
+                AS average_precision,
+            sum(CAST(pos AS DOUBLE) * (negatives - (cum_n - cum_pos) + (n - pos) / 2.0::DOUBLE))
+                / nullif(CAST(sum(pos) AS DOUBLE) * sum(n - pos), 0) AS roc_auc
+        FROM msteps GROUP BY score_month""",
+    "mcalibration": """
+        SELECT score_month, count(*) AS snapshots,
+            avg(pow(readiness - purchase_within_30d, 2)) AS brier_score,
+            avg(-ln(greatest(least(CASE WHEN purchase_within_30d = 1 THEN readiness
+                ELSE 1.0::DOUBLE - readiness END, 1 - pow(2.0::DOUBLE, -52)),
+                pow(2.0::DOUBLE, -52)))) AS log_loss,
+            avg(readiness) AS average_score,
+            avg(CAST(purchase_within_30d AS DOUBLE)) AS observed_rate
+        FROM mready GROUP BY score_month""",
+    "mmetrics": """
+        SELECT score_month, snapshots, round(average_precision, 6) AS average_precision,
+            round(roc_auc, 6) AS roc_auc, round(brier_score, 6) AS brier_score,
+            round(log_loss, 6) AS log_loss, round(recall_at_top_20pct, 6) AS recall_at_top_20pct,
+            round(lift_at_top_20pct, 6) AS lift_at_top_20pct,
+            round(average_score, 6) AS average_score, round(observed_rate, 6) AS observed_rate,
+            round(average_score - observed_rate, 6) AS calibration_gap
+        FROM mcalibration JOIN mdiscrimination USING (score_month)
+            JOIN mcapacity USING (score_month)""",
+    "cmetrics": _ranking_select(
+        "v_",
+        "blend",
+        "blend_rank",
+        "SELECT CAST(date_trunc('month', score_date) AS DATE) AS score_month, "
+        "count(*) FILTER (category = next_category) AS snapshots,",
+    )
+    + " GROUP BY 1",
+    "stacked": " UNION ALL ".join(
+        f"SELECT '{task}' AS task, '{metric}' AS metric, {sign} AS sign, snapshots AS w, "
+        f"date_diff('month', min(score_month) OVER (), score_month) AS x, {metric} AS y "
+        f"FROM {table}"
+        for task, table, metric, sign in (
+            ("purchase_readiness_30d", "mmetrics", "average_precision", 1),
+            ("purchase_readiness_30d", "mmetrics", "roc_auc", 1),
+            ("purchase_readiness_30d", "mmetrics", "lift_at_top_20pct", 1),
+            ("purchase_readiness_30d", "mmetrics", "brier_score", -1),
+            ("next_category", "cmetrics", "top_3_hit_rate", 1),
+            ("next_category", "cmetrics", "mean_reciprocal_rank", 1),
+            ("next_category", "cmetrics", "log_loss", -1),
+        )
+    ),
+    "fitted_line": """
+        SELECT task, metric, sign, count(*) AS months, arg_min(y, x) AS first_value,
+            arg_max(y, x) AS last_value, max(x) - min(x) AS span,
+            sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS slope
+        FROM (SELECT *, sum(w * x) OVER of_metric / sum(w) OVER of_metric AS mx,
+                sum(w * y) OVER of_metric / sum(w) OVER of_metric AS my
+            FROM (SELECT task, metric, sign, CAST(w AS DOUBLE) AS w, CAST(x AS DOUBLE) AS x, y
+                FROM stacked WHERE y IS NOT NULL)
+            WINDOW of_metric AS (PARTITION BY task, metric))
+        GROUP BY task, metric, sign""",
     "margin": f"""
         SELECT category, median(contribution_margin) AS expected_category_margin FROM tx
         WHERE order_date < {_DAY} GROUP BY category""",
@@ -656,7 +737,7 @@ FINALS: dict[str, str] = {
         f"SELECT '{name}' AS feature, round(max(m), 4) AS median, "
         f"round(avg(coalesce(x, m)), 4) AS average, "
         f"round(stddev_samp(coalesce(x, m)), 4) AS deviation "
-        f"FROM (SELECT x, quantile_disc(x, 0.5) OVER () AS m FROM ("
+        f"FROM (SELECT x, median(x) OVER () AS m FROM ("
         f"SELECT CASE WHEN customer_id NOT LIKE '%7' THEN CAST({name} AS DOUBLE) END AS x "
         f"FROM snap WHERE {_TRAIN}))"
         for name in _FEATURES[5:]
@@ -742,6 +823,11 @@ FINALS: dict[str, str] = {
         "count(*) FILTER (category = next_category) AS snapshots,",
     )
     + " GROUP BY 1",
+    "readiness_by_month": "SELECT * FROM mmetrics",
+    "quality_decline": """
+        SELECT task, metric, months, round(first_value, 6) AS first_value,
+            round(last_value, 6) AS last_value, round(slope * span, 6) AS change,
+            slope * span * sign < 0 AS declines FROM fitted_line""",
     "coverage_gap": """
         SELECT round(max(top_3_recall), 6) AS best_top_3_recall,
             round(min(top_3_recall), 6) AS worst_top_3_recall,
