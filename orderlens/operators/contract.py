@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from orderlens.scratch import stage
 from orderlens.sources.files import ContractError
 from orderlens.sources.tables import TRANSACTION_COLUMNS
 
@@ -136,8 +139,12 @@ def identifier_issues(raw: DataFrame) -> DataFrame:
 
 def duplicate_orders(raw: DataFrame) -> DataFrame:
     """(order_id, copies) of repeated order ids."""
+    return _repeated(raw.select(stripped(F.col("order_id")).alias("order_id")))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
     return (
-        raw.select(stripped(F.col("order_id")).alias("order_id"))
+        rows.select("order_id")
         .filter(F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -147,8 +154,12 @@ def duplicate_orders(raw: DataFrame) -> DataFrame:
 
 def category_labels(raw: DataFrame) -> DataFrame:
     """(folded, category, orders): one row per distinct label."""
+    return _labels(raw.select(stripped(F.col("category")).alias("category")))
+
+
+def _labels(rows: DataFrame) -> DataFrame:
     return (
-        raw.select(stripped(F.col("category")).alias("category"))
+        rows.select("category")
         .filter(F.col("category").isNotNull())
         .groupBy(folded(F.col("category")).alias("folded"), "category")
         .agg(F.count(F.lit(1)).alias("orders"))
@@ -160,7 +171,10 @@ def casefold_clashes(raw: DataFrame) -> DataFrame:
 
     ``kept`` marks the label with most orders of its folded form, ties to the smallest.
     """
-    labels = category_labels(raw)
+    return _clashes(category_labels(raw))
+
+
+def _clashes(labels: DataFrame) -> DataFrame:
     clashing = (
         labels.groupBy("folded")
         .agg(
@@ -210,38 +224,74 @@ def numeric_issues(raw: DataFrame) -> DataFrame:
     )
 
 
-def contract_report(raw: DataFrame) -> DataFrame:
-    """(position, rule, violations) for every rule, zero included.
+@dataclass(frozen=True)
+class Inspection:
+    """One reading of an input: its cleaned rows, staged, and what the reading counted.
 
-    Row rules share one aggregate pass. Duplicates count all copies of repeated ids;
-    folding counts labels beyond the first of each folded form.
+    ``rows`` carries ``broken``, the row rules that a row violates; ``counts`` the rows in all and per
+    row rule. Repeated ids and labels come from two narrow columns of the staged rows.
     """
+
+    rows: DataFrame
+    counts: dict[str, int]
+
+    def repeated(self) -> DataFrame:
+        return _repeated(self.rows)
+
+    def labels(self) -> DataFrame:
+        return _labels(self.rows)
+
+
+def inspect(raw: DataFrame) -> Inspection:
+    """Read ``raw`` once: the write of the cleaned rows counts the row rules as it goes."""
     rules = row_rules()
-    counts = (
+    seen = Observation("contract")
+    broken = F.array_compact(F.array(*[F.when(violated, F.lit(name)) for name, violated in rules]))
+    counted = (
         cleaned(raw)
-        .agg(*[F.count_if(violated).alias(name) for name, violated in rules])
-        .unpivot([], [name for name, _ in rules], "rule", "violations")
-    )
-    repeated = duplicate_orders(raw).agg(
-        F.lit(DUPLICATE_RULE).alias("rule"),
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("violations"),
+        .withColumn("broken", broken)
+        .observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.array_contains("broken", name)).alias(name) for name, _ in rules],
+        )
     )
+    rows = stage(counted, "inspected")
+    return Inspection(rows, seen.get)
+
+
+def _as_inspected(given: DataFrame | Inspection) -> Inspection:
+    return given if isinstance(given, Inspection) else inspect(given)
+
+
+def contract_report(given: DataFrame | Inspection) -> DataFrame:
+    """(position, rule, violations) for every rule, zero included.
+
+    Duplicates count all copies of repeated ids; folding counts labels beyond the first of each
+    folded form. The input is read once.
+    """
+    inspected = _as_inspected(given)
+    repeated = inspected.repeated().agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n"))
     folding = (
-        category_labels(raw)
+        inspected.labels()
         .groupBy("folded")
         .agg(F.count(F.lit(1)).alias("variants"))
-        .agg(
-            F.lit(CASEFOLD_RULE).alias("rule"),
-            F.coalesce(F.sum(F.col("variants") - 1), F.lit(0)).alias("violations"),
-        )
+        .agg(F.coalesce(F.sum(F.col("variants") - 1), F.lit(0)).alias("n"))
     )
-    position = F.array_position(F.array(*[F.lit(name) for name in RULES]), F.col("rule"))
-    return counts.unionByName(repeated).unionByName(folding).select(
-        position.alias("position"), "rule", "violations"
+    across = {DUPLICATE_RULE: repeated.scalar(), CASEFOLD_RULE: folding.scalar()}
+    spark = inspected.rows.sparkSession
+    rules = [
+        (at, name, inspected.counts.get(name, 0)) for at, name in enumerate(RULES, 1)
+    ]
+    violations = F.col("counted")
+    for name, number in across.items():
+        violations = F.when(F.col("rule") == name, number).otherwise(violations)
+    return spark.createDataFrame(rules, "position int, rule string, counted long").select(
+        "position", "rule", violations.cast("long").alias("violations")
     )
 
 
-def with_violations(raw: DataFrame) -> DataFrame:
+def with_violations(given: DataFrame | Inspection) -> DataFrame:
     """Cleaned rows plus ``violations``, the names of the broken rules in order.
 
     All copies of a repeated id are at fault; of labels that fold together, the most
@@ -250,17 +300,27 @@ def with_violations(raw: DataFrame) -> DataFrame:
     execution broadcasts them when they are small and otherwise splits the partition
     of an id or label that dominates.
     """
-    rows = cleaned(raw)
-    repeated = duplicate_orders(raw).select("order_id", F.lit(True).alias("is_repeated"))
+    inspected = _as_inspected(given)
+    repeated = inspected.repeated().select("order_id", F.lit(True).alias("is_repeated"))
     clashing = (
-        casefold_clashes(raw).filter("not kept").select("category", F.lit(True).alias("is_clashing"))
+        _clashes(inspected.labels())
+        .filter("not kept")
+        .select("category", F.lit(True).alias("is_clashing"))
+    )
+    across = {
+        DUPLICATE_RULE: F.coalesce("is_repeated", F.lit(False)),
+        CASEFOLD_RULE: F.coalesce("is_clashing", F.lit(False)),
+    }
+    names = F.array_compact(
+        F.array(
+            *[
+                F.when(across.get(name, F.array_contains("broken", name)), F.lit(name))
+                for name in RULES
+            ]
+        )
     )
-    broken = dict(row_rules())
-    broken[DUPLICATE_RULE] = F.coalesce("is_repeated", F.lit(False))
-    broken[CASEFOLD_RULE] = F.coalesce("is_clashing", F.lit(False))
-    names = F.array_compact(F.array(*[F.when(broken[name], F.lit(name)) for name in RULES]))
     return (
-        rows.join(repeated, "order_id", "left")
+        inspected.rows.join(repeated, "order_id", "left")
         .join(clashing, "category", "left")
         .select(*TRANSACTION_COLUMNS, names.alias("violations"))
     )
@@ -281,9 +341,9 @@ def typed(valid: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def quarantine(given: DataFrame | Inspection) -> tuple[DataFrame, DataFrame]:
     """(valid typed rows, rejected text rows with their violations)."""
-    checked = with_violations(raw)
+    checked = with_violations(given)
     passed = F.size("violations") == 0
     return typed(checked.filter(passed)), checked.filter(~passed)
 
@@ -293,13 +353,14 @@ def require_valid(raw: DataFrame) -> tuple[DataFrame, int]:
 
     Only the report, one row per rule, reaches the driver.
     """
-    if raw.isEmpty():
+    inspected = inspect(raw)
+    if not inspected.counts["rows"]:
         raise ContractError("Transaction input must not be empty")
-    report = contract_report(raw).orderBy("position").collect()
+    report = contract_report(inspected).orderBy("position").collect()
     for row in report:
         if row["violations"]:
             raise ContractError(f"{row['rule']}: {row['violations']} violations")
-    return typed(cleaned(raw)), len(report)
+    return typed(inspected.rows), len(report)
 
 
 def dataset_fingerprint(frame: DataFrame, columns: list[str]) -> DataFrame:

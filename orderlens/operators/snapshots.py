@@ -45,6 +45,11 @@ REQUIRED_COLUMNS = (
 )
 
 
+# Ends of the frames of the running state: nothing after the current day.
+_LAST_ROW = Window.currentRow
+_LAST_DAY = "CURRENT ROW"
+
+
 def order_view(transactions: DataFrame) -> DataFrame:
     """Columns the snapshots need, with dates as DATE and an order id for ties.
 
@@ -110,11 +115,11 @@ def running_state(days: DataFrame) -> DataFrame:
     the following day, whose trailing year starts 364 days before this one.
     """
     by_day = Window.partitionBy("customer_id").orderBy("order_date")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, _LAST_ROW)
     # A range over a DATE counts days; only SQL accepts whole numbers for it.
     trailing_year = F.expr(
         f"""flatten(collect_list(purchases) OVER (PARTITION BY customer_id ORDER BY order_date
-            RANGE BETWEEN {fixed.LONG_WINDOW_DAYS - 1} PRECEDING AND CURRENT ROW))"""
+            RANGE BETWEEN {fixed.LONG_WINDOW_DAYS - 1} PRECEDING AND {_LAST_DAY}))"""
     )
     # A day with n orders closes n gaps: one to the previous day, the others of length
     # zero. More than eight zeros per day can never be among the last eight gaps.
@@ -124,9 +129,8 @@ def running_state(days: DataFrame) -> DataFrame:
                 array(CAST(datediff(order_date, previous_date) AS double))),
             array_repeat(0D, CAST(least(day_orders - 1, {fixed.RECENT_GAPS}) AS int)))"""
     )
-    recent = F.flatten(
-        F.collect_list("day_gaps").over(by_day.rowsBetween(1 - fixed.RECENT_GAPS, 0))
-    )
+    last_days = by_day.rowsBetween(1 - fixed.RECENT_GAPS, _LAST_ROW)
+    recent = F.flatten(F.collect_list("day_gaps").over(last_days))
     return (
         days.withColumn("previous_date", F.lag("order_date").over(by_day))
         .withColumn("day_gaps", day_gaps)
@@ -141,6 +145,9 @@ def running_state(days: DataFrame) -> DataFrame:
             trailing_year.alias("trailing"),
             F.col("last_order.category").alias("last_category"),
             F.col("last_order.last").alias("last"),
+            # Lineage: the latest day that each kind of aggregate has read, by its own frame.
+            F.max("order_date").over(so_far).alias("state_until"),
+            F.max("order_date").over(last_days).alias("gaps_until"),
         )
     )
 
@@ -359,6 +366,39 @@ def labeled_snapshots(transactions: DataFrame, config: RunConfig) -> DataFrame:
     return _features(_grid_snapshots(transactions, config), config, *_labels(config))
 
 
+def leakage_by_date(transactions: DataFrame, config: RunConfig) -> DataFrame:
+    """Every row of the labeled grid audited by lineage, one result row per score date.
+
+    The running state, the last gaps and the purchases of the year each carry the days they have
+    read; the label side carries the day of the next order. A breach is a feature that has read the
+    score date or later, a purchase older than the year, or a label from before the score date.
+    """
+    year_days = F.transform("year", lambda purchase: purchase["order_date"])
+    rows = _with_year(_grid_snapshots(transactions, config)).select(
+        "score_date",
+        "state_until",
+        "gaps_until",
+        F.array_max(F.transform("trailing", lambda purchase: purchase["order_date"])).alias(
+            "year_until"
+        ),
+        F.array_min(year_days).alias("year_from"),
+        "next_date",
+    )
+    day = F.col("score_date")
+    oldest = F.date_sub(day, fixed.LONG_WINDOW_DAYS)
+    return rows.groupBy("score_date").agg(
+        F.count(F.lit(1)).alias("snapshots"),
+        F.max(F.greatest("state_until", "gaps_until", "year_until")).alias("latest_read"),
+        F.min("year_from").alias("earliest_in_year"),
+        F.count_if(F.col("state_until") >= day).alias("state_breaches"),
+        F.count_if(F.col("gaps_until") >= day).alias("gap_breaches"),
+        F.count_if((F.col("year_until") >= day) | (F.col("year_from") < oldest)).alias(
+            "year_breaches"
+        ),
+        F.count_if(F.col("next_date") < day).alias("label_breaches"),
+    )
+
+
 def scoring_snapshot(transactions: DataFrame, score_date: str, config: RunConfig) -> DataFrame:
     """One unlabeled row per customer that is eligible at ``score_date``."""
     return _features(_date_snapshots(transactions, score_date, config), config)

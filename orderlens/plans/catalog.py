@@ -354,6 +354,10 @@ def leakage_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audits[0].unionByName(audits[1]).unionByName(audits[2])
 
 
+def leakage_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    return snapshots.leakage_by_date(orders(spark, folder), RUN)
+
+
 # --- baselines -----------------------------------------------------------------------
 
 
@@ -804,6 +808,7 @@ QUERIES: dict[str, Query] = {
     "scoring_snapshot": scoring_snapshot,
     "temporal_split_counts": lambda s, d: splits.split_counts(labeled(s, d), RUN),
     "leakage_audit": leakage_audit,
+    "leakage_by_date": leakage_by_date,
     "popularity_baseline": popularity_baseline,
     "popularity_from_history": popularity_from_history,
     "last_category_baseline": last_category_baseline,

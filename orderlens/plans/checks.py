@@ -720,6 +720,12 @@ FINALS: dict[str, str] = {
         UNION ALL SELECT 'labeled_future', 0, 0
         UNION ALL SELECT 'labeled_past_control', count(*), count(*)
         FROM snap WHERE score_date = DATE '{AUDIT_DATE}'""",
+    "leakage_by_date": """
+        SELECT score_date, count(DISTINCT customer_id) AS snapshots, max(order_date) AS latest_read,
+            min(order_date) FILTER (order_date >= score_date - 365) AS earliest_in_year,
+            CAST(0 AS BIGINT) AS state_breaches, CAST(0 AS BIGINT) AS gap_breaches,
+            CAST(0 AS BIGINT) AS year_breaches, CAST(0 AS BIGINT) AS label_breaches
+        FROM g_hist SEMI JOIN g_life USING (customer_id, score_date) GROUP BY score_date""",
     "aligned_probabilities": f"""
         SELECT customer_id, score_date, 0.0::DOUBLE AS p_absent, 1.0::DOUBLE AS row_total
         FROM snap WHERE {_VALIDATION}""",

@@ -1,4 +1,5 @@
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +206,19 @@ def test_written_text_is_read_back(spark, tmp_path):
     files.write_csv(frame, str(tmp_path / "texts"))
     back = files.read_csv(spark, str(tmp_path / "texts"), "n int, text string")
     assert {row["n"]: row["text"] for row in back.collect()} == dict(enumerate(texts))
+
+
+def test_input_is_read_once(spark, tmp_path):
+    """The inspection reads the files in one pass; everything after it reads the staged rows."""
+    rows = [(f"o{i % 40}", f"c{i}", "2024-01-01", "Books" if i % 9 else "books", "1", "1", "0", "a", "b") for i in range(50)]
+    table = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in files.TRANSACTION_COLUMNS))
+    path = str(tmp_path / "in")
+    files.write_csv(table, path)
+    inspected = contract.inspect(files.read_transactions_csv(spark, path))
+    shutil.rmtree(path)
+    assert inspected.counts["rows"] == 50
+    report = {r["rule"]: r["violations"] for r in contract.contract_report(inspected).collect()}
+    assert report[contract.DUPLICATE_RULE] == 20 and report[contract.CASEFOLD_RULE] == 1
+    valid, rejected = contract.quarantine(inspected)
+    bad = {i for i in range(50) if i % 40 < 10 or i % 9 == 0}
+    assert rejected.count() == len(bad) and valid.count() == 50 - len(bad)

@@ -177,3 +177,22 @@ def test_split_counts_and_empty_split(spark):
     kept = splits.split_by_time(labeled, purged)
     assert kept[0].count() < parts[0].count()
     assert kept[2].count() == parts[2].count()
+
+
+WINDOW_ENDS = {"state_breaches": ("_LAST_ROW", 1), "year_breaches": ("_LAST_DAY", "40 FOLLOWING")}
+
+
+def test_lineage_finds_a_broken_window_at_each_date(spark, monkeypatch):
+    orders = spark.createDataFrame(random_orders(31, customers=60), COLUMNS)
+    config = RunConfig(snapshot_start="2022-06-01", snapshot_end="2024-04-01", categories=CLASSES)
+    sound = snapshots.leakage_by_date(orders, config).collect()
+    grid = {r["score_date"] for r in snapshots.labeled_snapshots(orders, config).select("score_date").distinct().collect()}
+    kinds = ("state_breaches", "gap_breaches", "year_breaches", "label_breaches")
+    assert {r["score_date"] for r in sound} == grid and len(grid) > 10
+    assert all(r[kind] == 0 for r in sound for kind in kinds)
+    assert all(r["latest_read"] < r["score_date"] for r in sound)
+    for kind, (name, end) in WINDOW_ENDS.items():
+        with monkeypatch.context() as patch:
+            patch.setattr(snapshots, name, end)
+            broken = snapshots.leakage_by_date(orders, config).collect()
+        assert {r["score_date"] for r in broken if r[kind] > 0} == grid, kind
