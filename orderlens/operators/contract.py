@@ -30,7 +30,15 @@ def stripped(column: Column) -> Column:
 
 
 def folded(category: Column) -> Column:
-    return F.lower(category)
+    """Full Unicode case folding: equal for two texts exactly if they differ in case only.
+
+    Upper case writes out ligatures and sharp s and drops letter variants; lower case of that is the
+    key. Dotless i has an upper case that is not its own and is kept apart, and the final form of
+    sigma is the same letter as the others.
+    """
+    kept = "\uffff"
+    upper = F.upper(F.translate(category, "ı\u1e9e", kept + "ß"))
+    return F.translate(F.lower(F.translate(upper, kept, "ı")), "ς", "σ")
 
 
 def parsed_date(text: Column) -> Column:

@@ -222,3 +222,24 @@ def test_input_is_read_once(spark, tmp_path):
     valid, rejected = contract.quarantine(inspected)
     bad = {i for i in range(50) if i % 40 < 10 or i % 9 == 0}
     assert rejected.count() == len(bad) and valid.count() == 50 - len(bad)
+
+
+def test_labels_fold_like_full_case_folding(spark):
+    """Two characters, or words of them, clash exactly if Unicode folds them alike."""
+    found = [chr(i) for i in range(32, 0x1F000) if not 0xD800 <= i < 0xE000 and chr(i).isprintable()]
+    found += ["Straße", "STRASSE", "strasse", "ΟΔΟΣ", "οδος", "οδοσ", "İstanbul", "istanbul", "ﬁn", "FIN"]
+    table = spark.createDataFrame([(text,) for text in found], "text string")
+    by_spark, by_rule = {}, {}
+    for text, key in table.select("text", contract.folded(F.col("text"))).collect():
+        by_spark.setdefault(key, set()).add(text)
+        by_rule.setdefault(text.casefold(), set()).add(text)
+    assert {frozenset(one) for one in by_spark.values()} == {frozenset(one) for one in by_rule.values()}
+
+
+def test_folded_labels_clash_everywhere(spark):
+    table = raw(spark, *({"order_id": f"o{i}", "category": "Straße" if i else "STRASSE"} for i in range(3)))
+    report = {r["rule"]: r["violations"] for r in contract.contract_report(table).collect()}
+    assert report[contract.CASEFOLD_RULE] == 1
+    rejected = contract.quarantine(table)[1].collect()
+    assert [(r["category"], r["violations"]) for r in rejected] == [("STRASSE", [contract.CASEFOLD_RULE])]
+    assert contract.casefold_clashes(table).count() == 2
