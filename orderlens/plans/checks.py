@@ -621,15 +621,25 @@ FINALS: dict[str, str] = {
     ),
     "contract_duplicate_orders": "SELECT order_id, copies FROM repeated",
     "contract_category_casefold": "SELECT folded, category, orders, kept FROM clash",
-    "contract_dates": """SELECT order_id, order_date, CASE WHEN k % 103 = 0 THEN 'format'
-        ELSE 'invalid_day' END AS issue FROM dirty WHERE k % 103 = 0 OR k % 107 = 0""",
+    "contract_dates": """
+        SELECT order_id, order_date, CASE WHEN shaped THEN 'invalid_day' ELSE 'format' END AS issue
+        FROM (SELECT *, regexp_full_match(order_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AS shaped
+            FROM dirty)
+        WHERE NOT shaped OR try_cast(order_date AS DATE) IS NULL""",
     "contract_numerics": """
-        SELECT order_id, 'order_value' AS field, order_value AS "text", 'negative' AS issue
-        FROM dirty WHERE CAST(order_value AS DOUBLE) < 0
-        UNION ALL SELECT order_id, 'contribution_margin', contribution_margin, 'not_finite'
-        FROM dirty WHERE k % 113 = 0
-        UNION ALL SELECT order_id, 'used_discount', used_discount, 'not_binary'
-        FROM dirty WHERE k % 127 = 0""",
+        SELECT * FROM (
+            SELECT order_id, field, "text", CASE WHEN "text" IS NULL THEN 'missing'
+                WHEN number IS NULL OR NOT isfinite(number) THEN 'not_finite'
+                WHEN field = 'order_value' AND number < 0 THEN 'negative'
+                WHEN field = 'used_discount' AND number NOT IN (0, 1) THEN 'not_binary' END AS issue
+            FROM (SELECT order_id, field, "text", try_cast("text" AS DOUBLE) AS number
+                FROM (SELECT order_id, 'order_value' AS field, CAST(order_value AS VARCHAR) AS "text"
+                        FROM dirty
+                    UNION ALL SELECT order_id, 'contribution_margin',
+                        CAST(contribution_margin AS VARCHAR) FROM dirty
+                    UNION ALL SELECT order_id, 'used_discount', CAST(used_discount AS VARCHAR)
+                        FROM dirty)))
+        WHERE issue IS NOT NULL""",
     "contract_report": _report(),
     "contract_quarantine": f"SELECT {_COLUMNS}, {_VIOLATIONS} AS violations FROM flags",
     "contract_accepted": f"""SELECT order_id, customer_id, CAST(order_date AS DATE) AS order_date,

@@ -207,6 +207,14 @@ def test_training_job_end_to_end(spark, tmp_path):
             if name not in ("log_loss", "multiclass_brier_score", "lift_at_top_20pct"):
                 assert 0.0 <= value <= 1.0, name
     assert document["selected_category_model"] == result.category_model
+    by_name = {row["candidate"]: row for row in result.category_comparison.collect()}
+    chosen = by_name[result.category_model]
+    assert document["category_validation"] == pytest.approx(
+        {name: chosen[name] for name in comparison.CATEGORY_METRICS}
+    )
+    assert set(document["readiness_validation"]) == set(comparison.READINESS_METRICS)
+    written = spark.read.parquet(paths["snapshots"])
+    assert written.count() == result.snapshots.count() == document["dataset"]["snapshots"]
     assert document["dataset"]["scoring_customers"] == result.queue.count()
     assert result.test_baselines.count() == 2
     assert result.recall.count() == len(CLASSES)
