@@ -113,7 +113,7 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-_CLASSES = ("[#*$%&|<>]", "[A-Z]", "[0-9]", "[.,;:!?''\"()\\-]")
+_CLASSES = ("[#*$%&|<>]", "[A-Z]", "[0-9]", "[.,;:!?''\"()\\-]", "[/\\\\=+_@{}~^`\\[\\]]")
 _CLASS_LIST = ", ".join(
     f"length(body) - length(regexp_replace(body, '{pattern}', '', 'g'))" for pattern in _CLASSES
 )
@@ -133,10 +133,21 @@ def _distance(left: str, right: str) -> str:
     return f"sqrt(greatest(0, ({half.format(left, right)} + {half.format(right, left)}) / 2))"
 
 
+_SPOKEN = (
+    "list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), "
+    "'[\\x21-\\x40\\x5B-\\x60\\x7B-\\x7E]', ' ', 'g'), '[\\x20\\x09-\\x0D]+'), lambda v: v <> '')"
+)
 _QUALITY = f"""
 WITH numbered AS (
-  SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS body, {_WORDS} AS w
+  SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS body, {_WORDS} AS w,
+         {_SPOKEN} AS spoken
   FROM documents),
+often AS (
+  SELECT lang, list(word ORDER BY place) AS frequent
+  FROM (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place
+        FROM (SELECT lang, unnest(spoken) AS word FROM numbered) GROUP BY lang, word
+        QUALIFY place <= 24)
+  GROUP BY lang),
 top(lang, common) AS (VALUES {_LISTED}),
 windows AS (
   SELECT row_id, pos, (w[pos], w[pos + 1], w[pos + 2]) AS triple
@@ -157,30 +168,45 @@ counted AS (
          [{_CLASS_LIST},
           length(body) - coalesce(list_sum(list_transform(w, lambda x: length(x))), 0),
           strlen(body) - length(body)] AS classes,
-         list_transform(coalesce(t.common, []), lambda c: len(list_filter(w, lambda x: x = c))) AS found
-  FROM numbered n LEFT JOIN top t ON n.lang IS NOT DISTINCT FROM t.lang),
+         list_transform(coalesce(t.common, []), lambda c: len(list_filter(w, lambda x: x = c))) AS found,
+         len(spoken) AS n_spoken,
+         list_transform(coalesce(o.frequent, []), lambda c: len(list_filter(spoken, lambda x: x = c))) AS heard
+  FROM numbered n LEFT JOIN top t ON n.lang IS NOT DISTINCT FROM t.lang
+  LEFT JOIN often o ON n.lang IS NOT DISTINCT FROM o.lang),
 shaped AS (
   SELECT *, list_append(classes, greatest(0, n_chars - list_sum(classes))) AS class_counts,
-         list_append(found, n_words - coalesce(list_sum(found), 0)) AS word_counts
+         list_append(found, n_words - coalesce(list_sum(found), 0)) AS word_counts,
+         list_append(heard, n_spoken - coalesce(list_sum(heard), 0)) AS heard_counts,
+         list_append(list_transform(heard, lambda x: 0), 1) AS unheard
   FROM counted),
 class_sums AS (
   SELECT lang, pos, sum(class_counts[pos]) AS n
-  FROM (SELECT lang, class_counts, unnest(range(1, 8)) AS pos FROM shaped) GROUP BY lang, pos),
+  FROM (SELECT lang, class_counts, unnest(range(1, 9)) AS pos FROM shaped) GROUP BY lang, pos),
 word_sums AS (
   SELECT lang, pos, sum(word_counts[pos]) AS n
   FROM (SELECT lang, word_counts, unnest(range(1, len(word_counts) + 1)) AS pos FROM shaped)
   GROUP BY lang, pos),
+heard_sums AS (
+  SELECT lang, pos, sum(heard_counts[pos]) AS n
+  FROM (SELECT lang, heard_counts, unnest(range(1, len(heard_counts) + 1)) AS pos FROM shaped)
+  GROUP BY lang, pos),
 shares AS (
-  SELECT c.lang, c.class_share, w.common_share
+  SELECT c.lang, c.class_share, w.common_share, f.heard_share
   FROM (SELECT lang, list(n / greatest(total, 1) ORDER BY pos) AS class_share FROM (
           SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM class_sums) GROUP BY lang) c
   JOIN (SELECT lang, list(n / greatest(total, 1) ORDER BY pos) AS common_share FROM (
           SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM word_sums) GROUP BY lang) w
-    ON c.lang IS NOT DISTINCT FROM w.lang),
+    ON c.lang IS NOT DISTINCT FROM w.lang
+  JOIN (SELECT lang, list(n / greatest(total, 1) ORDER BY pos) AS heard_share FROM (
+          SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM heard_sums) GROUP BY lang) f
+    ON c.lang IS NOT DISTINCT FROM f.lang),
 judged AS (
   SELECT s.*, coalesce(c.n_repeat_words, 0) AS n_repeat_words,
          CASE WHEN n_chars >= 200 THEN {_distance('list_transform(class_counts, lambda x: x / list_sum(class_counts))', 'class_share')} END AS char_distance,
-         CASE WHEN n_words >= 50 AND len(found) > 0 THEN {_distance('list_transform(word_counts, lambda x: x / n_words)', 'common_share')} END AS word_distance
+         CASE WHEN n_words >= 50 AND len(found) > 0 THEN {_distance('list_transform(word_counts, lambda x: x / n_words)', 'common_share')} END AS word_distance,
+         CASE WHEN n_spoken >= 50 AND len(heard) > 0 THEN
+           {_distance('list_transform(heard_counts, lambda x: x / n_spoken)', 'heard_share')}
+           / {_distance('unheard', 'heard_share')} END AS heard_distance
   FROM shaped s JOIN shares h ON s.lang IS NOT DISTINCT FROM h.lang
   LEFT JOIN covered c ON s.row_id = c.row_id)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
@@ -188,7 +214,8 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND coalesce(char_distance, 0) <= 0.25 AND coalesce(word_distance, 0) <= 0.45 AS kept
+         AND coalesce(char_distance, 0) <= 0.25 AND coalesce(word_distance, 0) <= 0.45
+         AND coalesce(heard_distance, 0) <= 0.9 AS kept
 FROM judged
 """
 
