@@ -350,10 +350,11 @@ def keep_one(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
     )
     once = Window.partitionBy("_row").orderBy(F.lit(0))
     blank = F.regexp_replace(F.coalesce("text", F.lit("")), BREAK_PATTERN, "") == ""
+    # The document travels as one struct, so its columns may have any names.
     return (
-        docs.withColumn("_row", row_key())
+        docs.select(F.struct("*").alias("_document"), row_key().alias("_row"), blank.alias("_blank"))
         .join(kept, F.col("_row") == F.col("_kept"), "left")
         .withColumn("_turn", F.row_number().over(once))
-        .filter(blank | (F.col("_kept").isNotNull() & (F.col("_turn") == 1)))
-        .select(*[F.col(f"`{name}`") for name in docs.columns])
+        .filter(F.col("_blank") | (F.col("_kept").isNotNull() & (F.col("_turn") == 1)))
+        .select("_document.*")
     )

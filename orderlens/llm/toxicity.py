@@ -39,7 +39,7 @@ MIN_ROWS = 4
 MAX_ITERATIONS = 12
 RIDGE = 0.002
 OUTER = "\"'`.,;:!?()[]{}<>«»„“”‘’¿¡…-–—*_#$%&|"
-_MEMO = 500_000
+_MEMO = 150_000
 
 
 def stems(word: str) -> tuple[str, ...]:

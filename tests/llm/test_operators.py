@@ -178,6 +178,15 @@ def test_one_of_each_group_stays(docs):
     assert kept.count() == blank + len({group for _, n, group in groups if n})
 
 
+def test_columns_with_the_names_of_helpers_stay(docs):
+    odd = docs.withColumns({"_row": F.col("doc_id") * 2, "_turn": F.lit("t"), "_kept": F.lit(1), "_blank": F.lit("b")})
+    kept = ngram_join.keep_one(odd, stage)
+    assert kept.columns == odd.columns
+    rows = kept.collect()
+    assert {row["doc_id"] for row in rows} == {row["doc_id"] for row in ngram_join.keep_one(docs, stage).collect()}
+    assert all(row["_row"] == row["doc_id"] * 2 and row["_turn"] == "t" for row in rows if row["doc_id"] is not None)
+
+
 def test_components(spark):
     links = [(at, at + 1) for at in range(50)] + [(100, 101), (103, 102), (101, 103), (7, 7)]
     frame = spark.createDataFrame(links, "a long, b long")
