@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,7 @@ MAX_ITERATIONS = 12
 RIDGE = 0.002
 OUTER = "\"'`.,;:!?()[]{}<>«»„“”‘’¿¡…-–—*_#$%&|"
 _MEMO = 150_000
+_PIECE = 20_000
 
 
 def stems(word: str) -> tuple[str, ...]:
@@ -90,8 +92,11 @@ def _count_features(names: list[str]):
                                 seen[key] += row
                             else:
                                 seen[key] = row.copy()
-        rows = [(stem, level, *sums.tolist()) for (stem, level), sums in seen.items()]
-        yield pd.DataFrame(rows, columns=["stem", "level", "rows", *names])
+        # Handed out in pieces: one frame of all counts would double what the worker holds.
+        counted = iter(seen.items())
+        while piece := list(islice(counted, _PIECE)):
+            rows = [(stem, level, *sums.tolist()) for (stem, level), sums in piece]
+            yield pd.DataFrame(rows, columns=["stem", "level", "rows", *names])
 
     return count
 
