@@ -11,9 +11,11 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
    and frequency classes with two different scrambles. A candidate pair must share a prefix shingle
    under all of them; only pairs that pass all filters are verified.
 4. Only components are asked for, so a dense group is not expanded into pairs: each set is first verified
-   against a few leaders among the sets it shares prefix shingles with, and the resulting components
-   are joined by verifying all remaining candidate pairs between different components. In a bucket,
-   only sets outside its largest component are compared with the others.
+   against a few leaders among the sets it shares prefix shingles with. What is left to compare are
+   pairs between different components. A set's home is the component that is the largest in most of its
+   buckets; sets of one home meet as blocks of bounded size, where the filters and the overlap of
+   a set with a whole block are counted at once and one link per component leaves. Only pairs between
+   homes are listed.
 
 Shingles are compared by 64-bit hashes.
 
@@ -40,6 +42,8 @@ SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
 LEADERS_TRIED = (1, 6)
+BLOCK_SETS = 1024
+BLOCK_BYTES = 8 << 20
 _SEEN = 200_000
 
 
@@ -232,25 +236,152 @@ def _leader_pairs(held: DataFrame, percent: int, turn: int) -> DataFrame:
     )
 
 
-def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket but no component; one side is outside the bucket's largest."""
+def _open_buckets(held: DataFrame) -> DataFrame:
+    """Buckets with several components, and the largest of them."""
     parts = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"))
     largest = parts.groupBy("token").agg(
         F.max(F.struct("members", "root")).alias("largest"), F.count(F.lit(1)).alias("roots")
     )
-    open_buckets = largest.filter("roots > 1").select("token", F.col("largest.root").alias("main"))
-    inside = held.join(open_buckets, "token")
+    return largest.filter("roots > 1").select("token", F.col("largest.root").alias("main"))
+
+
+def _homes(held: DataFrame) -> DataFrame:
+    """(id, root, home) of the sets that share an open bucket."""
+    votes = (
+        held.join(_open_buckets(held), "token")
+        .groupBy("id", "root", "main")
+        .agg(F.count(F.lit(1)).alias("votes"))
+    )
+    return (
+        votes.groupBy("id", "root")
+        .agg(F.max(F.struct("votes", "main")).alias("most"))
+        .select("id", "root", F.col("most.main").alias("home"))
+    )
+
+
+def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a bucket but neither component nor home; one side is outside the bucket's largest."""
+    inside = held.join(_open_buckets(held), "token")
     outside = inside.filter(F.col("root") != F.col("main")).select(
-        "token", F.col("id").alias("x"), F.col("n").alias("x_n"), F.col("root").alias("x_root")
+        "token",
+        F.col("id").alias("x"),
+        F.col("n").alias("x_n"),
+        F.col("root").alias("x_root"),
+        F.col("home").alias("x_home"),
     )
+    apart = (F.col("root") != F.col("x_root")) & (F.col("home") != F.col("x_home"))
     return (
         outside.join(inside, "token")
-        .filter((F.col("root") != F.col("x_root")) & _sizes_fit(percent, "n", "x_n"))
+        .filter(apart & _sizes_fit(percent, "n", "x_n"))
         .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
         .distinct()
     )
 
 
+class _Block:
+    """Sets whose overlap with one other set is counted in one pass."""
+
+    def __init__(self, rows: list[tuple]):
+        ids, n, roots, main, shared, *prefixes = zip(*rows)
+        self.ids = np.array(ids, "S16")
+        self.n = np.array(n, np.int64)
+        self.roots = np.array(roots, "S16")
+        self.main = np.array(main, bool)
+        parts = [np.frombuffer(one, np.uint64) for one in shared]
+        self.values, self.at = np.unique(np.concatenate(parts), return_inverse=True)
+        self.starts = self._starts(parts)
+        self.prefix_at, self.prefix_starts = [], []
+        for one in prefixes:
+            pieces = [np.asarray(piece, np.int64).view(np.uint64) for piece in one]
+            self.prefix_at.append(np.searchsorted(self.values, np.concatenate(pieces)))
+            self.prefix_starts.append(self._starts(pieces))
+
+    @staticmethod
+    def _starts(parts: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate(([0], np.cumsum([len(part) for part in parts])[:-1]))
+
+    def _marked(self, values: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.values, values), len(self.values) - 1)
+        marks = np.zeros(len(self.values), np.int64)
+        marks[at[self.values[at] == values]] = 1
+        return marks
+
+    def links(self, row: tuple, percent: int) -> list[bytes]:
+        """A similar set of every other component; of two sets outside the main one, the smaller asks."""
+        name, n, root, _, shared, *prefixes = row
+        fits = (100 * self.n >= percent * n) & (100 * n >= percent * self.n)
+        fits &= (self.roots != np.bytes_(root)) & (self.main | (self.ids > np.bytes_(name)))
+        for order, prefix in enumerate(prefixes):
+            if not fits.any():
+                return []
+            marks = self._marked(np.asarray(prefix, np.int64).view(np.uint64))
+            fits &= np.add.reduceat(marks[self.prefix_at[order]], self.prefix_starts[order]) > 0
+        if not fits.any():
+            return []
+        marks = self._marked(np.frombuffer(shared, np.uint64))
+        common = np.add.reduceat(marks[self.at], self.starts)
+        fits &= 100 * common >= percent * (n + self.n - common)
+        found = np.flatnonzero(fits)
+        _, first = np.unique(self.roots[found], return_index=True)
+        return [self.ids[one].ljust(16, b"\0") for one in found[first]]
+
+
+def _meet_blocks(percent: int):
+    fields = ["asks", "id", "n", "root", "main", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
+
+    def meet(batches) -> Iterator[pd.DataFrame]:
+        for _, rows in packed.by_key(batches, "place", fields):
+            asking = [row[1:] for row in rows if row[0]]
+            held = [row[1:] for row in rows if not row[0]]
+            if asking and held:
+                block = _Block(held)
+                pairs = [(row[0], other) for row in asking for other in block.links(row, percent)]
+                yield pd.DataFrame(pairs, columns=["a", "b"])
+
+    return meet
+
+
+def _home_links(homes: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
+    """Verified pairs (a, b) within homes, between components.
+
+    Every set outside a home's main component meets every set of the home: blocks of those that ask
+    and blocks of those that are held are paired, so a home of any size spreads over tasks.
+    """
+    asks = F.col("root") != F.col("home")
+    sized = homes.join(likely.select("id", F.octet_length("shared").alias("bytes")), "id")
+
+    def blocks(which: Column) -> Column:
+        sets = F.sum(F.when(which, 1).otherwise(0)) / BLOCK_SETS
+        size = F.sum(F.when(which, F.col("bytes")).otherwise(0)) / BLOCK_BYTES
+        return F.ceil(F.greatest(sets, size)).cast("int")
+
+    cuts = (
+        sized.groupBy(F.col("home").alias("of"))
+        .agg(blocks(asks).alias("asking"), blocks(F.lit(True)).alias("holding"))
+        .filter("asking > 0")
+    )
+    members = homes.join(cuts, F.col("home") == F.col("of")).join(likely, "id")
+    block_asking = F.pmod(F.xxhash64(F.lit(1), "id"), F.col("asking")).cast("int")
+    block_held = F.pmod(F.xxhash64(F.lit(2), "id"), F.col("holding")).cast("int")
+    columns = ["n", "root", (~asks).alias("main"), "shared", *[f"prefix{at}" for at in range(ORDERS)]]
+
+    def sent(frame: DataFrame, asking: bool, one: Column, other: Column) -> DataFrame:
+        placed = frame.withColumn("one", one).withColumn("other", other)
+        place = F.concat_ws("|", F.hex("home"), F.col("one").cast("string"), F.col("other").cast("string"))
+        return placed.select(place.alias("place"), F.lit(asking).alias("asks"), "id", *columns)
+
+    every_held = F.explode(F.sequence(F.lit(0), F.col("holding") - 1))
+    every_asking = F.explode(F.sequence(F.lit(0), F.col("asking") - 1))
+    rows = sent(members.filter(asks), True, block_asking, every_held).unionAll(
+        sent(members, False, every_asking, block_held)
+    )
+    return (
+        rows.repartition("place")
+        .sortWithinPartitions("place")
+        .mapInPandas(_meet_blocks(percent), "a binary, b binary")
+    )
+
+
 def _with_roots(likely: DataFrame, order: int, roots: DataFrame) -> DataFrame:
     of = roots.withColumnRenamed("id", "of")
     return (
@@ -299,13 +430,15 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
         pairs = _leader_pairs(_with_roots(likely, 0, roots), percent, turn)
         links = links.unionAll(stage(_verified(pairs, likely, percent), "leader-links"))
         roots = connected_components(links, stage)
-    crossing = _crossing_pairs(_with_roots(likely, 0, roots), percent)
+    homes = stage(_homes(_with_roots(likely, 0, roots)), "homes")
+    inside = stage(_home_links(homes, likely, percent), "home-links")
+    crossing = _crossing_pairs(_postings(likely, 0).join(homes, "id"), percent)
     for order in range(1, ORDERS):
-        other = _crossing_pairs(_with_roots(likely, order, roots), percent)
+        other = _crossing_pairs(_postings(likely, order).join(homes, "id"), percent)
         crossing = crossing.join(other, ["a", "b"], "left_semi")
     crossing = stage(crossing, "candidates")
     found = stage(_verified(crossing, likely, percent), "crossing-links")
-    roots = connected_components(links.unionAll(found), stage)
+    roots = connected_components(links.unionAll(inside).unionAll(found), stage)
 
     rows = met.filter("bucket < 0").select(
         F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
