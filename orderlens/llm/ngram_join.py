@@ -42,6 +42,7 @@ SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
 LEADERS_TRIED = (1, 6)
+HOME_TURNS = 1
 BLOCK_SETS = 1024
 BLOCK_BYTES = 8 << 20
 _SEEN = 200_000
@@ -245,13 +246,9 @@ def _open_buckets(held: DataFrame) -> DataFrame:
     return largest.filter("roots > 1").select("token", F.col("largest.root").alias("main"))
 
 
-def _homes(held: DataFrame) -> DataFrame:
-    """(id, root, home) of the sets that share an open bucket."""
-    votes = (
-        held.join(_open_buckets(held), "token")
-        .groupBy("id", "root", "main")
-        .agg(F.count(F.lit(1)).alias("votes"))
-    )
+def _voted(seats: DataFrame) -> DataFrame:
+    """(id, root, home): the home that most buckets of a set name."""
+    votes = seats.groupBy("id", "root", "main").agg(F.count(F.lit(1)).alias("votes"))
     return (
         votes.groupBy("id", "root")
         .agg(F.max(F.struct("votes", "main")).alias("most"))
@@ -259,6 +256,29 @@ def _homes(held: DataFrame) -> DataFrame:
     )
 
 
+def _homes(held: DataFrame, stage) -> DataFrame:
+    """(id, root, home) of the sets that share an open bucket.
+
+    A bucket first names its largest component, then the home that most of its sets have chosen, so
+    small homes around a large one join it.
+    """
+    seats = stage(
+        held.join(_open_buckets(held), "token").select("id", "root", "token", "main"), "seats"
+    )
+    homes = stage(_voted(seats), "homes")
+    for _ in range(HOME_TURNS):
+        counted = (
+            seats.select("id", "token")
+            .join(homes.select("id", "home"), "id")
+            .groupBy("token", "home")
+            .agg(F.count(F.lit(1)).alias("sets"))
+        )
+        chosen = counted.groupBy("token").agg(F.max(F.struct("sets", "home")).alias("most"))
+        named = chosen.select("token", F.col("most.home").alias("main"))
+        homes = stage(_voted(seats.drop("main").join(named, "token")), "homes")
+    return homes
+
+
 def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
     """Pairs that share a bucket but neither component nor home; one side is outside the bucket's largest."""
     inside = held.join(_open_buckets(held), "token")
@@ -430,7 +450,7 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
         pairs = _leader_pairs(_with_roots(likely, 0, roots), percent, turn)
         links = links.unionAll(stage(_verified(pairs, likely, percent), "leader-links"))
         roots = connected_components(links, stage)
-    homes = stage(_homes(_with_roots(likely, 0, roots)), "homes")
+    homes = _homes(_with_roots(likely, 0, roots), stage)
     inside = stage(_home_links(homes, likely, percent), "home-links")
     crossing = _crossing_pairs(_postings(likely, 0).join(homes, "id"), percent)
     for order in range(1, ORDERS):
