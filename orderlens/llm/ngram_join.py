@@ -43,6 +43,9 @@ PERCENT = 80
 ORDERS = 3
 LEADERS_TRIED = (1, 6)
 HOME_TURNS = 1
+BUCKET_BYTES = 6 << 20
+LEAST_BUCKETS = 16
+MOST_PARTITIONS = 20_000
 BLOCK_SETS = 1024
 BLOCK_BYTES = 8 << 20
 _SEEN = 200_000
@@ -92,42 +95,45 @@ def _send_sets(buckets: int):
     return send
 
 
-def _meet_shingles(batches) -> Iterator[pd.DataFrame]:
-    """Document rows as they are; of the postings, those of shingles that two sets hold."""
-    columns = ["doc", "row", "digest", "n", "bucket", "blob"]
-    for _, rows in packed.by_key(batches, "bucket", ["doc", "row", "digest", "n", "blob"]):
-        blobs = [row[4] for row in rows if row[4] is not None]
-        out = [(*row[:4], -1, None) for row in rows if row[4] is None]
-        if out:
+def _meet_shingles(buckets: int):
+    def meet(batches) -> Iterator[pd.DataFrame]:
+        """Document rows as they are; of the postings, those of shingles that two sets hold."""
+        columns = ["doc", "row", "digest", "n", "bucket", "blob"]
+        for _, rows in packed.by_key(batches, "bucket", ["doc", "row", "digest", "n", "blob"]):
+            blobs = [row[4] for row in rows if row[4] is not None]
+            out = [(*row[:4], -1, None) for row in rows if row[4] is None]
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+            if not blobs:
+                continue
+            value, owner, owners, _ = packed.gather(blobs)
+            order = np.lexsort((owner, value))
+            value, owner = value[order], owner[order]
+            fresh = np.ones(len(value), bool)
+            fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+            value, owner = value[fresh], owner[fresh]
+            # Most shingles have one holder; only runs of equal ones are looked at further.
+            starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+            lengths = np.diff(np.append(starts, len(value)))
+            holders = np.repeat(lengths, lengths)
+            shared = holders > 1
+            value, owner, holders = value[shared], owner[shared], holders[shared]
+            home = np.fromiter((int.from_bytes(one[:4], "big") for one in owners), np.int64, len(owners))
+            target = home[owner] % buckets
+            order = np.lexsort((owner, target))
+            value, owner, holders, target = value[order], owner[order], holders[order], target[order]
+            edges = np.searchsorted(target, np.arange(buckets + 1))
+            out = []
+            for number in range(buckets):
+                part = slice(edges[number], edges[number + 1])
+                if edges[number] < edges[number + 1]:
+                    used, at = np.unique(owner[part], return_inverse=True)
+                    names = [owners[one] for one in used]
+                    blob = packed.dump(value[part], at.astype(np.int32), names, holders[part].astype(np.int64))
+                    out.append((None, None, None, 0, number, blob))
             yield pd.DataFrame(out, columns=columns)
-        if not blobs:
-            continue
-        value, owner, owners, _ = packed.gather(blobs)
-        order = np.lexsort((owner, value))
-        value, owner = value[order], owner[order]
-        fresh = np.ones(len(value), bool)
-        fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-        value, owner = value[fresh], owner[fresh]
-        # Most shingles have one holder; only runs of equal ones are looked at further.
-        starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-        lengths = np.diff(np.append(starts, len(value)))
-        holders = np.repeat(lengths, lengths)
-        shared = holders > 1
-        value, owner, holders = value[shared], owner[shared], holders[shared]
-        home = np.fromiter((int.from_bytes(one[:4], "big") for one in owners), np.int64, len(owners))
-        target = home[owner] % packed.MIN_BUCKETS
-        order = np.lexsort((owner, target))
-        value, owner, holders, target = value[order], owner[order], holders[order], target[order]
-        edges = np.searchsorted(target, np.arange(packed.MIN_BUCKETS + 1))
-        out = []
-        for number in range(packed.MIN_BUCKETS):
-            part = slice(edges[number], edges[number + 1])
-            if edges[number] < edges[number + 1]:
-                used, at = np.unique(owner[part], return_inverse=True)
-                names = [owners[one] for one in used]
-                blob = packed.dump(value[part], at.astype(np.int32), names, holders[part].astype(np.int64))
-                out.append((None, None, None, 0, number, blob))
-        yield pd.DataFrame(out, columns=columns)
+
+    return meet
 
 
 def _prefixes(value: np.ndarray, holders: np.ndarray, length: int) -> list[np.ndarray]:
@@ -423,21 +429,24 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("string").alias("doc"), row_key().alias("row"), binary.alias("text")
     )
-    buckets = packed.bucket_count(texts.agg(F.sum(F.length("text"))).first()[0])
+    # Both rounds take one bucket of bounded text per task, at any size of the input.
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-int(total) // BUCKET_BYTES))
+    partitions = min(buckets, MOST_PARTITIONS)
     met = stage(
         texts.mapInPandas(
             _send_sets(buckets), "bucket int, doc string, row string, digest binary, n long, blob binary"
         )
-        .repartition("bucket")
+        .repartitionById(partitions, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInPandas(_meet_shingles, "doc string, row string, digest binary, n long, bucket int, blob binary"),
+        .mapInPandas(_meet_shingles(buckets), "doc string, row string, digest binary, n long, bucket int, blob binary"),
         "shared-shingles",
     )
     prefixes = ", ".join(f"prefix{at} array<bigint>" for at in range(ORDERS))
     likely = stage(
         met.filter("bucket >= 0")
         .select("bucket", "blob")
-        .repartition("bucket")
+        .repartitionById(partitions, "bucket")
         .sortWithinPartitions("bucket")
         .mapInPandas(
             _keep_likely(percent), f"id binary, n long, alone double, shared binary, {prefixes}"

@@ -42,6 +42,8 @@ RIDGE = 0.002
 OUTER = "\"'`.,;:!?()[]{}<>«»„“”‘’¿¡…-–—*_#$%&|"
 _MEMO = 150_000
 _PIECE = 20_000
+_MOST_COUNTED = 100_000
+_FIELD = 40
 
 
 def stems(word: str) -> tuple[str, ...]:
@@ -78,25 +80,33 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: dict) -> DataF
 
 
 def _count_features(names: list[str]):
+    columns = ["stem", "level", "rows", *names]
+    mask = (1 << _FIELD) - 1
+
+    def handed(seen: dict[tuple[str, int], int]) -> Iterator[pd.DataFrame]:
+        counted = iter(seen.items())
+        while piece := list(islice(counted, _PIECE)):
+            rows = [
+                (stem, level, *(sums >> _FIELD * at & mask for at in range(len(names) + 1)))
+                for (stem, level), sums in piece
+            ]
+            yield pd.DataFrame(rows, columns=columns)
+
     def count(batches) -> Iterator[pd.DataFrame]:
-        seen: dict[tuple[str, int], np.ndarray] = {}
+        # Rows and rows of each category are fields of one number; what a task holds is bounded.
+        seen: dict[tuple[str, int], int] = {}
         for frame in batches:
             marks = frame[names].to_numpy()
             for text, mark in zip(frame["text"], marks):
-                row = np.concatenate(([1], mark))
+                row = 1 + sum(int(one) << _FIELD * at for at, one in enumerate(mark, 1))
                 for stem, n in stem_counts(text).items():
                     for level in LEVELS:
                         if n >= level:
-                            key = (stem, level)
-                            if key in seen:
-                                seen[key] += row
-                            else:
-                                seen[key] = row.copy()
-        # Handed out in pieces: one frame of all counts would double what the worker holds.
-        counted = iter(seen.items())
-        while piece := list(islice(counted, _PIECE)):
-            rows = [(stem, level, *sums.tolist()) for (stem, level), sums in piece]
-            yield pd.DataFrame(rows, columns=["stem", "level", "rows", *names])
+                            seen[stem, level] = seen.get((stem, level), 0) + row
+                if len(seen) > _MOST_COUNTED:
+                    yield from handed(seen)
+                    seen = {}
+        yield from handed(seen)
 
     return count
 

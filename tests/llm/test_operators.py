@@ -169,6 +169,52 @@ def test_groups_of_many_near_copies(spark):
     assert sorted(found) == sorted(brute_groups(rows))
 
 
+def test_near_misses_meet_in_blocks(spark, monkeypatch):
+    # Similarities around the limit: many candidates, few links, several components in every bucket.
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7)
+    sent = []
+    real = ngram_join._home_links
+
+    def watched(homes, likely, percent):
+        links = stage(real(homes, likely, percent), "watched")
+        sent.append((homes.filter("root <> home").count(), links.count()))
+        return links
+
+    monkeypatch.setattr(ngram_join, "_home_links", watched)
+    base = prose(3, 100).split()
+    rows = []
+    for at in range(150):
+        copy = list(base)
+        for turn in range(1 + at % 4):
+            copy[(at * 37 + turn * turn * 11) % 100] = f"z{at % 23}q{turn}"
+        rows.append((at, " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in ngram_join.similar_groups(frame, stage).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(found) == sorted(brute_groups(rows))
+    assert len({group for _, _, group in found}) > 5 and sent[0][0] > 10
+
+
+def test_block_links_are_those_of_brute_force():
+    import numpy as np
+
+    random = np.random.default_rng(5)
+    rows = []
+    for at in range(60):
+        held = np.unique(random.choice(60, random.integers(1, 50), replace=False).astype(np.uint64))
+        prefixes = [held.astype(np.int64) for _ in range(ngram_join.ORDERS)]
+        rows.append((at.to_bytes(16, "big"), len(held), (at % 9).to_bytes(16, "big"), at % 9 == 0, held.tobytes(), *prefixes))
+    block = ngram_join._Block(rows)
+    for row in rows:
+        mine, wanted = set(np.frombuffer(row[4], np.uint64)), set()
+        for other in rows:
+            theirs = set(np.frombuffer(other[4], np.uint64))
+            if row[2] != other[2] and (other[3] or other[0] > row[0]):
+                if 100 * len(mine & theirs) >= 50 * len(mine | theirs):
+                    wanted.add(other[2])
+        of = {other[0]: other[2] for other in rows}
+        assert {of[one] for one in block.links(row, 50)} == wanted
+
+
 def test_one_of_each_group_stays(docs):
     rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
     groups = brute_groups(rows)
