@@ -270,31 +270,55 @@ def test_perspectives(spark):
 # line dedup --------------------------------------------------------------------------------
 
 
-def test_repeated_chunks_go_but_the_first(spark, nothing):
-    passage = "\n".join(f"shared line {at} {word(at)}" for at in range(40))
-    rows = [(at, "\n".join(f"own {at} {n}" for n in range(at + 3)) + "\n" + passage) for at in range(6)]
-    rows += [(50, None), (51, ""), (52, "one line"), (None, passage), rows[2], rows[2]]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
+def brute_lines(rows):
+    """Texts without the lines of runs of lines that also stand earlier, by plain search."""
+    placed = sorted(
+        (doc is None, doc or 0, "" if text is None else hashlib.md5(text.encode()).hexdigest(), text)
+        for doc, text in set(rows) if text is not None
+    )
+    seen, lost = {}, defaultdict(set)
+    for unknown, doc, key, text in placed:
+        lines = text.split("\n")
+        full = [at for at, line in enumerate(lines) if line.strip()]
+        for low, high in zip(full, full[1:]):
+            here = (unknown, doc, key, low)
+            if seen.setdefault("\n".join(lines[low : high + 1]), here) != here:
+                lost[(None if unknown else doc, text)].update(range(low, high + 1))
+    out = []
+    for doc, text in rows:
+        kept = None
+        if text is not None:
+            kept = "\n".join(line for at, line in enumerate(text.split("\n")) if at not in lost[doc, text])
+        out.append((doc, kept))
+    return out
+
+
+def test_repeated_passages_go_but_the_first(spark, nothing):
+    passages = [[f"shared {size} line {at} {word(at)}" for at in range(size)] for size in range(2, 21)]
+    rows = []
+    for at in range(60):
+        own = [f"own {at} {n}" for n in range(8)]
+        own[3:3] = passages[at % 19]
+        own[1:1] = ["", "  "] if at % 5 == 0 else []
+        rows.append((at, "\n".join(own)))
+    whole = "\n".join(passages[-1])
+    rows += [(100, None), (101, ""), (102, "one line"), (None, whole), (103, "\n\n\n"), (104, "x\nx\nx\nx"), rows[2], rows[2]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"of": F.lit(1), "row": F.lit("r")})
     out = line_dedup.dedup_lines(frame, stage).collect()
-    assert len(out) == len(rows)
-    expected = []
-    owner = {}
-    for doc, text in sorted(rows, key=lambda row: (row[0] is None, row[0] or 0)):
-        if text is None:
-            expected.append((doc, None))
-            continue
-        lines, kept = text.encode().split(b"\n"), []
-        for low, high in line_dedup.chunks(text.encode()):
-            body = b"\n".join(lines[low:high])
-            first = owner.setdefault(body, (doc, text, low))
-            if high - low < line_dedup.MIN_LINES or first == (doc, text, low):
-                kept += lines[low:high]
-        expected.append((doc, b"\n".join(kept).decode()))
-    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(expected, key=str)
-    assert sum(r["n_removed_lines"] for r in out) > 100
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(brute_lines(rows), key=str)
+    # Recall on the planted passages: each stays in one document only, line by line.
+    left = Counter(line for r in out if r["text"] and r["doc_id"] != 2 for line in r["text"].split("\n"))
+    assert all(left[line] <= 1 for passage in passages for line in passage)
     assert line_dedup.dedup_lines(nothing, stage).count() == 0
 
 
+def test_chunks_do_not_shift():
+    lines = [f"line {at} {word(at)}".encode() for at in range(200)]
+    whole = {tuple(lines[low:high]) for low, high in line_dedup.chunks(b"\n".join(lines))}
+    later = {tuple(([b"new"] + lines)[low:high]) for low, high in line_dedup.chunks(b"\n".join([b"new", *lines]))}
+    assert len(whole - later) <= 2
+
+
 # decontamination ---------------------------------------------------------------------------
 
 ITEM = "A farmer named Alice sold 12 apples and 30 pears to Bob for 5 dollars. How many fruits did Alice sell?"
