@@ -6,7 +6,9 @@ some whole passes and a last one that stops where its word quota is met. The blo
 source owes the mix are its quota; a tree over the output shards splits the vector of all
 quotas exactly (at each node the left half draws its share without replacement), so every shard
 gets a fixed number of blocks of each source, and takes disjoint consecutive blocks of the
-permutation. Inside a shard, documents are ordered by a second random number.
+permutation. A copy belongs to the mix because its block was given to a shard: copies, words taken
+and the layout of the mixed rows all follow from the shards. Inside a shard, documents are ordered by a
+second random number, and consecutive slices of that order are written by different tasks.
 
 Running sums are over one block, and offsets over one row per block, so a source that
 holds a third of all rows is no hot group. The driver holds one row per source.
@@ -34,8 +36,9 @@ MAX_PASSES = 2
 BLOCK_WORDS = 50_000
 MAX_BLOCKS = 1 << 20
 MIX_SHARDS = 64
+SLICE_WORDS = 1_000_000
 _BITS = 60
-_ADDED = ("size", "source_size", "target", "copies", "mix_shards", "mix_order")
+_ADDED = ("size", "source_size", "target", "copies", "mix_shards", "mix_order", "mix_slice")
 
 
 def targets(sizes: list[int], weights: list[int], percent: int = MIX_PERCENT, passes: int = MAX_PASSES) -> list[Fraction]:
@@ -150,13 +153,16 @@ def mix(docs: DataFrame, size: Column, seed: int = 29, percent: int = MIX_PERCEN
     """``docs`` with the plan of the mix.
 
     Adds ``size``, ``source_size``, ``target``, ``copies`` (how often the document is taken, at
-    most ``MAX_PASSES``), ``mix_shards`` (the output shard of each copy) and ``mix_order`` (sorts the
-    documents of a shard). Documents that the mix does not take have no copies.
+    most ``MAX_PASSES``), ``mix_shards`` (the output shard of each copy), ``mix_order`` (sorts the
+    documents of a shard) and ``mix_slice`` (numbers stretches of that order of about ``SLICE_WORDS``
+    words). Documents whose blocks the tree gives to no shard have no copies.
     """
     spark = docs.sparkSession
     narrow = stage(docs.select("doc_id", "source", size.alias("size")), "mix-sizes")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("size")).collect()
     sources = _sources(spark, [(row["source"], row["size"]) for row in sizes], percent)
+    mixed_words = sum(row["size"] for row in sizes) * percent // 100
+    slices = max(1, min(MAX_BLOCKS, -(-mixed_words // (MIX_SHARDS * SLICE_WORDS))))
     earlier = Window.partitionBy("_mix_source").orderBy("_mix_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -189,36 +195,41 @@ def mix(docs: DataFrame, size: Column, seed: int = 29, percent: int = MIX_PERCEN
     )
     middle_twice = 2 * (F.col("_mix_before") + F.col("_mix_to_here")) - F.col("size")
     last_pass = (middle_twice <= 2 * F.col("_mix_left")).cast("int")
-    copies = F.when(F.col("size") > 0, F.col("_mix_passes") + last_pass).otherwise(F.lit(0))
+    passes = F.when(F.col("size") > 0, F.col("_mix_passes") + last_pass).otherwise(F.lit(0))
 
     def shard_of(number: Column) -> Column:
         unit = number * F.col("_mix_blocks") + F.col("_mix_block")
         return F.size(F.filter("_mix_cuts", lambda cut: cut <= unit))
 
-    numbers = F.slice(F.array(*[F.lit(at) for at in range(MAX_PASSES)]), 1, F.col("copies"))
-    return placed.withColumn("copies", copies).select(
+    numbers = F.slice(F.array(*[F.lit(at) for at in range(MAX_PASSES)]), 1, passes)
+    given = F.filter(F.transform(numbers, shard_of), lambda number: number < MIX_SHARDS)
+    order = _random(seed, "order", F.col("doc_id"), F.col("size"))
+    return placed.withColumns({"mix_shards": given, "mix_order": order}).select(
         *[F.col(f"`{name}`") for name in names],
         "size",
         "source_size",
         "target",
-        "copies",
-        F.transform(numbers, shard_of).alias("mix_shards"),
-        _random(seed, "order", F.col("doc_id"), F.col("size")).alias("mix_order"),
+        F.size("mix_shards").alias("copies"),
+        "mix_shards",
+        "mix_order",
+        F.shiftright(F.shiftright("mix_order", _BITS - 40) * F.lit(slices), 40).alias("mix_slice"),
     )
 
 
+def laid_out(planned: DataFrame) -> DataFrame:
+    """One row per copy, by ``mix_shard`` and slice over the tasks, in the order of the shard inside each."""
+    copies = planned.withColumn("mix_shard", F.explode("mix_shards"))
+    return copies.repartition("mix_shard", "mix_slice").sortWithinPartitions("mix_shard", "mix_order")
+
+
 def mixed_documents(docs: DataFrame, size: Column, seed: int = 29, percent: int = MIX_PERCENT) -> DataFrame:
-    """The rows of the mix: each document as often as it is taken, with its own columns only."""
+    """The rows of the mix, as the splitting tree lays them out; with the columns of ``docs`` only."""
     whole = docs.select(
         "doc_id", "source", size.alias("_mix_words"), F.struct("*").alias("_mix_document")
     )
-    planned = mix(whole, F.col("_mix_words"), seed, percent)
-    return planned.withColumn("_mix_shard", F.explode("mix_shards")).select("_mix_document.*")
+    return laid_out(mix(whole, F.col("_mix_words"), seed, percent)).select("_mix_document.*")
 
 
 def write_mix(planned: DataFrame, columns: list[str], path: str) -> None:
     """One folder per output shard, shuffled inside each file."""
-    rows = planned.withColumn("mix_shard", F.explode("mix_shards"))
-    rows.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions(
-        "mix_shard", "mix_order"
-    ).select(*columns, "mix_shard").write.partitionBy("mix_shard").parquet(path)
+    laid_out(planned).select(*columns, "mix_shard").write.partitionBy("mix_shard").parquet(path)

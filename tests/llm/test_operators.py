@@ -515,6 +515,60 @@ def test_mix_meets_its_targets(spark, docs, nothing):
     assert mixing.mix(nothing, word_count(F.col("text"))).count() == 0
 
 
+def test_tree_gives_every_shard_its_exact_blocks(spark, tmp_path, monkeypatch):
+    """Quotas, owners of blocks and the written layout, recomputed document by document."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 400)
+    monkeypatch.setattr(mixing, "SLICE_WORDS", 300)
+    rows = [(at, ("a", "b", None)[at % 3], prose(at, 5 + at % 60)) for at in range(3000)]
+    sizes = {at: len(text.split()) for at, _, text in rows}
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    planned = mixing.mix(frame, word_count(F.col("text")))
+    shards = {row["doc_id"]: row["mix_shards"] for row in planned.collect()}
+
+    def drawn(purpose, at):
+        return int(hashlib.md5(f"{purpose}29|{at}|{sizes[at]}".encode()).hexdigest()[:15], 16)
+
+    names = ["a", "b", None]
+    totals = [sum(sizes[at] for at, name, _ in rows if name == source) for source in names]
+    goals = [float(goal) for goal in mixing.targets(totals, [5, 2, 1])]
+    units, owed = {}, []
+    for source, total, goal in zip(names, totals, goals):
+        blocks, passes = -(-total // 400), int(goal // total)
+        members = sorted((drawn("place", at), at) for at, name, _ in rows if name == source)
+        so_far, most = 0, passes * blocks
+        starts = {}
+        for random, at in members:
+            starts.setdefault((random >> 20) * blocks >> 40, so_far)
+            so_far += sizes[at]
+        most += max((n + 1 for n, before in starts.items() if before < goal - passes * total), default=0)
+        owed.append(most)
+        so_far = 0
+        for random, at in members:
+            block = (random >> 20) * blocks >> 40
+            times = passes + (2 * so_far + sizes[at] <= 2 * (goal - passes * total))
+            units[at] = [number * blocks + block for number in range(times)]
+            so_far += sizes[at]
+    ends = mixing.split_quotas(owed, mixing.MIX_SHARDS, 29).cumsum(axis=0)
+    assert ends[-1].tolist() == owed
+    for at, source, _ in rows:
+        column = ends[:, names.index(source)]
+        assert shards[at] == [int((column <= unit).sum()) for unit in units[at]]
+        assert all(unit < column[-1] for unit in units[at])
+
+    path = str(tmp_path / "mix")
+    mixing.write_mix(planned, ["doc_id"], path)
+    written = spark.read.parquet(path).groupBy("doc_id").agg(F.sort_array(F.collect_list("mix_shard")))
+    assert dict(written.collect()) == {at: sorted(own) for at, own in shards.items() if own}
+    spread = mixing.laid_out(planned).withColumn("task", F.spark_partition_id())
+    slices = spread.groupBy("mix_shard", "mix_slice").agg(F.count_distinct("task").alias("tasks"))
+    assert slices.filter("tasks > 1").count() == 0 and slices.count() > mixing.MIX_SHARDS
+    places = spread.withColumn("place", F.monotonically_increasing_id()).select(
+        "task", "mix_shard", "mix_order", "place"
+    )
+    seen = [(row["task"], row["mix_shard"], row["mix_order"]) for row in places.orderBy("place").collect()]
+    assert seen == sorted(seen)
+
+
 # quality -----------------------------------------------------------------------------------
 
 
