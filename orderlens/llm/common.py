@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from functools import wraps
+
+import pyarrow
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +42,25 @@ def literal_longs(values: list[int]) -> Column:
     if not values:
         return F.array().cast("array<bigint>")
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def hand_back() -> None:
+    """Return freed memory of this process to the system, as far as its C library can."""
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def handing_back(work):
+    """A task function over batches that leaves no freed memory behind in its reused Python worker."""
+
+    @wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            hand_back()
+
+    return run

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm import packed
+from orderlens.llm.common import handing_back
 
 WINDOW = 10
 MIN_TOKENS = 5
@@ -257,7 +258,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc string, row string, item string, n_tokens long, n_covered long, n_changed long, first long, last long"
     found = None
     for items in blocks(benchmark):
-        part = texts.mapInPandas(_search(Index(items)), schema)
+        part = texts.mapInPandas(handing_back(_search(Index(items))), schema)
         found = part if found is None else found.unionAll(part)
     return found.select(
         F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
@@ -272,6 +273,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _is_clean(index: Index):
+    @handing_back
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         templates = Templates()
         for batch in texts:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm import packed
-from orderlens.llm.common import BREAK_PATTERN
+from orderlens.llm.common import BREAK_PATTERN, handing_back
 from orderlens.llm.components import connected_components
 
 SHINGLE = 5
@@ -211,7 +211,7 @@ def _verified(pairs: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
             F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("shared").alias(f"{name}_shared")
         )
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify(percent), "a binary, b binary")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(handing_back(_verify(percent)), "a binary, b binary")
 
 
 def _postings(likely: DataFrame, order: int) -> DataFrame:
@@ -404,7 +404,7 @@ def _home_links(homes: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
     return (
         rows.repartition("place")
         .sortWithinPartitions("place")
-        .mapInPandas(_meet_blocks(percent), "a binary, b binary")
+        .mapInPandas(handing_back(_meet_blocks(percent)), "a binary, b binary")
     )
 
 
@@ -435,11 +435,11 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
     partitions = min(buckets, MOST_PARTITIONS)
     met = stage(
         texts.mapInPandas(
-            _send_sets(buckets), "bucket int, doc string, row string, digest binary, n long, blob binary"
+            handing_back(_send_sets(buckets)), "bucket int, doc string, row string, digest binary, n long, blob binary"
         )
         .repartitionById(partitions, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInPandas(_meet_shingles(buckets), "doc string, row string, digest binary, n long, bucket int, blob binary"),
+        .mapInPandas(handing_back(_meet_shingles(buckets)), "doc string, row string, digest binary, n long, bucket int, blob binary"),
         "shared-shingles",
     )
     prefixes = ", ".join(f"prefix{at} array<bigint>" for at in range(ORDERS))
@@ -449,7 +449,7 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
         .repartitionById(partitions, "bucket")
         .sortWithinPartitions("bucket")
         .mapInPandas(
-            _keep_likely(percent), f"id binary, n long, alone double, shared binary, {prefixes}"
+            handing_back(_keep_likely(percent)), f"id binary, n long, alone double, shared binary, {prefixes}"
         ),
         "likely-sets",
     )

@@ -31,6 +31,8 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.llm.common import handing_back
+
 TRAIN_ROWS = 8_000
 FOLDS = 3
 FEATURES_PER_CATEGORY = 600
@@ -115,7 +117,7 @@ def choose_features(rows: DataFrame, names: list[str]) -> dict[tuple[str, int],
     """The features with the largest chi-square of any category, numbered."""
     sums = ", ".join(f"{name} long" for name in names)
     counts = (
-        rows.mapInPandas(_count_features(names), f"stem string, level int, rows long, {sums}")
+        rows.mapInPandas(handing_back(_count_features(names)), f"stem string, level int, rows long, {sums}")
         .groupBy("stem", "level")
         .agg(F.sum("rows").alias("rows"), *[F.sum(name).alias(name) for name in names])
         .filter(F.col("rows") >= MIN_ROWS)
@@ -273,7 +275,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     return texts.mapInPandas(
-        run, "doc string, row string, probabilities array<double>, reported array<string>"
+        handing_back(run), "doc string, row string, probabilities array<double>, reported array<string>"
     ).select(
         F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "probabilities",
@@ -289,6 +291,7 @@ def remove_reported(docs: DataFrame, chain: Chain, reject_on: tuple[str, ...]) -
     """
     checked = [(at, limit) for at, (name, _, limit) in enumerate(chain.links) if name in reject_on]
 
+    @handing_back
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             found = [chain.probabilities(text) for text in batch]
