@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm import packed
+from orderlens.llm.common import handing_back
 
 ROLL = 3
 DIVISOR = 4
@@ -70,6 +71,7 @@ def spans(lines: list[bytes]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+@handing_back
 def _emit(batches) -> Iterator[pd.DataFrame]:
     """Digest and place of every range."""
     columns = ["row", "doc", "first", "past", "digest"]
@@ -86,6 +88,7 @@ def _emit(batches) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns)
 
 
+@handing_back
 def _emit_bytes(batches) -> Iterator[pd.DataFrame]:
     """Bytes of the ranges whose digests repeat."""
     columns = ["row", "doc", "first", "past", "chunk"]
@@ -103,6 +106,7 @@ def _emit_bytes(batches) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns)
 
 
+@handing_back
 def _cut(batches) -> Iterator[pd.DataFrame]:
     columns = ["doc", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", "kept"]
     for frame in batches:

@@ -633,3 +633,14 @@ def test_markup_is_a_class_of_its_own(spark):
         for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), stage).collect()
     }
     assert judged.pop(99) > quality.MAX_CHAR_DISTANCE >= max(judged.values())
+
+
+def test_line_tasks_hand_memory_back(monkeypatch):
+    """Reused Python workers keep nothing of a partition that has ended."""
+    from orderlens.llm import common
+
+    ended = []
+    monkeypatch.setattr(common, "hand_back", lambda: ended.append(1))
+    for task in (line_dedup._emit, line_dedup._emit_bytes, line_dedup._cut):
+        assert list(task(iter([]))) == []
+    assert len(ended) == 3
