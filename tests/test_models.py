@@ -103,3 +103,33 @@ def test_one_rule_at_every_size(noisy):
     fit = models.fit_classifier("gradient_boosting", alone, RunConfig(boosting_rounds=4)).fits[0]
     assert fit.losses == [] or alone.vectors.filter("not held_out").isEmpty()
     assert fit.model.getNumTrees == 4
+
+
+def test_steady_losses_go_on_with_all_rounds(spark, monkeypatch):
+    """A loss that falls in every round costs one long fit, not a chain of repeats."""
+    assert models.falls_steadily([5.0, 4.0, 3.0], 2, 1e-7)
+    assert not models.falls_steadily([5.0, 4.0, 4.0], 2, 1e-7)
+    assert not models.falls_steadily([5.0, 4.0], 2, 1e-7)
+    rows = [(at % 40 / 40, 0.0, int(at % 40 >= 20), f"c{at // 40}") for at in range(2400)]
+    clear = spark.createDataFrame(
+        rows, "cadence_progress double, order_momentum double, y int, customer_id string"
+    )
+    config = RunConfig(boosting_rate=0.05, boosting_depth=2, boosting_rounds=70)
+    tried = []
+    real = models._boosting
+    monkeypatch.setattr(models, "_boosting", lambda rounds, c: (tried.append(rounds), real(rounds, c))[1])
+    data = models.prepare_training(clear, FEATURES, "y", True)
+    fit = models.fit_classifier("gradient_boosting", data, config).fits[0]
+    assert tried == [16, 70]
+    assert len(fit.losses) == fit.model.getNumTrees == 70
+
+
+def test_published_rounds_follow_from_the_losses():
+    config = RunConfig(boosting_rounds=180, boosting_patience=10)
+    falling = [1.0 - at / 1000 for at in range(180)]
+    assert models.judged_rounds(falling, config) == 180
+    assert models.judged_rounds(falling[:16], config) == 16
+    # Least at round 20: patience runs out at round 30, which the second doubling covers.
+    turned = falling[:20] + [2.0] * 160
+    assert models.judged_rounds(turned, config) == 32
+    assert models.judged_rounds(falling[:3] + [2.0] * 177, config) == 16
