@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.config import RunConfig
 from orderlens.operators import comparison, models, snapshots
-from orderlens.plans import score_job, train_job
+from orderlens.plans import catalog, score_job, train_job
 from orderlens.sources import derived, files
 from orderlens.sources.files import ContractError
 from test_contract import MANIFEST
@@ -218,3 +218,18 @@ def test_training_job_end_to_end(spark, tmp_path):
     assert document["dataset"]["scoring_customers"] == result.queue.count()
     assert result.test_baselines.count() == 2
     assert result.recall.count() == len(CLASSES)
+
+
+def test_labeled_snapshots_are_staged_where_they_arise(spark, history, monkeypatch):
+    """No row moves to a folder of its date, and the staged rows are the computed ones."""
+    config = RunConfig(
+        snapshot_start="2022-06-01", snapshot_end="2024-04-01", categories=CLASSES
+    )
+    monkeypatch.setattr(catalog, "orders", lambda *_: history)
+    monkeypatch.setattr(catalog, "RUN", config)
+    monkeypatch.setattr(catalog, "_staged", {})
+    staged = catalog.labeled(spark, "own rows")
+    assert not any("score_date=" in path for path in staged.inputFiles())
+    expected = snapshots.labeled_snapshots(history, config)
+    assert staged.columns == expected.columns and not staged.isEmpty()
+    assert staged.exceptAll(expected).isEmpty() and expected.exceptAll(staged).isEmpty()
