@@ -196,3 +196,24 @@ def test_lineage_finds_a_broken_window_at_each_date(spark, monkeypatch):
             patch.setattr(snapshots, name, end)
             broken = snapshots.leakage_by_date(orders, config).collect()
         assert {r["score_date"] for r in broken if r[kind] > 0} == grid, kind
+
+
+def test_each_category_is_searched_once_per_snapshot(spark):
+    """Three features of a category share one search of the categories bought."""
+    config = RunConfig(
+        snapshot_start="2024-01-01", snapshot_end="2024-06-01", categories=("Books", "Garden", "It's")
+    )
+    day = date(2024, 1, 5)
+    rows = [
+        order(number, "c", day + timedelta(days=9 * number), ("Books", "It's", None)[number % 3])
+        for number in range(12)
+    ]
+    table = snapshots.labeled_snapshots(frame(spark, rows), config)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position(") == len(config.categories)
+    last = table.orderBy(F.col("score_date").desc()).first()
+    assert last["garden_orders_365d"] == 0 and last["garden_recency_days"] == 400
+    assert last["it's_orders_365d"] == sum(
+        row[3] == "It's" and row[2] < last["score_date"] for row in rows
+    )
+    assert last["it's_recency_days"] < 60 and 0 < last["books_share_365d"] < 1
