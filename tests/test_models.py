@@ -133,3 +133,56 @@ def test_published_rounds_follow_from_the_losses():
     turned = falling[:20] + [2.0] * 160
     assert models.judged_rounds(turned, config) == 32
     assert models.judged_rounds(falling[:3] + [2.0] * 177, config) == 16
+
+
+def longest_method(frame) -> int:
+    """Bytes of the longest method that Spark generates for the plan of ``frame``."""
+    debug = getattr(frame.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$")
+    plan = frame._jdf.queryExecution().executedPlan()
+    found = getattr(debug, "MODULE$").codegenStringSeq(plan)
+    return max([found.apply(at)._3().maxMethodCodeSize() for at in range(found.size())], default=0)
+
+
+def test_preparation_and_scores_are_compiled(spark):
+    """Methods beyond 8,000 bytes are interpreted by the JVM, many times slower."""
+    names = [f"x{at}" for at in range(40)]
+    dice = random.Random(4)
+    rows = [
+        (*[dice.choice((None, dice.random())) for _ in names], dice.choice((None, "A", "B")), *"RSTU", f"c{at}", at % 3)
+        for at in range(60)
+    ]
+    schema = ", ".join(f"{name} double" for name in names)
+    kinds = list(models.CATEGORICAL_FEATURES)
+    schema += ", " + ", ".join(f"{name} string" for name in kinds) + ", customer_id string, y int"
+    table = spark.createDataFrame(rows, schema)
+    path = models.stage(table, "wide")
+    prepared = models.fit_preprocessing(path, names + kinds).transform(path)
+    assert 0 < longest_method(prepared.select("features")) <= 8000
+    filled = {row["customer_id"]: row[kinds[0]] for row in prepared.collect()}
+    mode = models.most_frequent_values(table, kinds)[kinds[0]]
+    assert filled == {row[-2]: row[40] or mode for row in rows}
+    data = models.prepare_training(path, names + kinds, "y", False)
+    model = models.fit_classifier("logistic_regression", data, RunConfig(logistic_iterations=5))
+    scored = model.aligned(path, [9, 2, 1, 0])
+    assert 0 < longest_method(scored) <= 8000
+    raw = {row["customer_id"]: list(row["probability"]) for row in model.model.transform(prepared).collect()}
+    for row in scored.collect():
+        assert row["probabilities"] == pytest.approx([0.0, *reversed(raw[row["customer_id"]])], abs=1e-12)
+
+
+def test_only_open_columns_are_read_again(spark, monkeypatch):
+    """A median that is found leaves the later passes."""
+    read = []
+    explode = ranking.F.explode
+
+    def counted(column):
+        read.append(str(column._jc.toString()).count("AS value"))
+        return explode(column)
+
+    monkeypatch.setattr(ranking.F, "explode", counted)
+    monkeypatch.setattr(ranking, "_RANGES", 4)
+    dice = random.Random(5)
+    rows = [(float(at % 2), dice.random()) for at in range(301)]
+    found = ranking.exact_medians(spark.createDataFrame(rows, "few double, many double"), ["few", "many"])
+    assert found == {"few": 0.0, "many": statistics.median(value for _, value in rows)}
+    assert read[0] == 2 and len(read) > 1 and read[-1] == 1
