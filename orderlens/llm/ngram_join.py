@@ -2,9 +2,11 @@
 
 Documents are sets of word shingles; two link when their Jaccard similarity reaches the limit.
 
-1. Equal sets are one set (by a 128-bit digest). Sets travel as packed postings of hashed
-   shingles to the bucket of the shingle, which tells how many sets hold it.
-2. Every order puts shingles that one set alone holds first. A set of n shingles shares with a
+1. Equal sets are one set (by 64 bits of a digest and the size). Under the order of the hashes alone, two sets
+   that link share ``SPARE`` percent of the smaller one's shingles among the first 20 + ``SPARE`` percent of
+   both. Only these firsts travel, as packed postings, to the bucket of the shingle; a set that shares fewer
+   has no partner. Texts of the other sets, one per set, are read again.
+2. Their sets travel whole to the buckets, which tell how many of them hold a shingle. Every order puts shingles that one set alone holds first. A set of n shingles shares with a
    partner one of its first n - ceil(limit * n) + 1, so a set whose prefix has only shingles of its
    own is done, whatever the order; only shared shingles are kept for the rest.
 3. The rest get a prefix under each of ``ORDERS`` orders of their shared shingles: rarest first,
@@ -41,8 +43,13 @@ from orderlens.llm.components import connected_components
 SHINGLE = 5
 PERCENT = 80
 ORDERS = 3
+SPARE = 10
+BUCKETS_A_HOME = 8
+NAME_BYTES = 12
 LEADERS_TRIED = (1, 6)
 HOME_TURNS = 1
+CROWD = 64
+HOME_TO_CROWD = 16
 BUCKET_BYTES = 6 << 20
 LEAST_BUCKETS = 16
 MOST_PARTITIONS = 20_000
@@ -63,7 +70,22 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _send_sets(buckets: int):
+def first_length(n: int, percent: int) -> int:
+    """How many of ``n`` shingles, in the order of their hashes, are looked at first."""
+    return min(n, n - least_overlap(n, percent) + max(1, n * SPARE // 100))
+
+
+def least_shared(n, percent: int):
+    """How many of a set's first shingles are among those of any partner.
+
+    Of t common shingles the i-th, in any order, is among the first n - t + i of either set.
+    """
+    return np.maximum(1, least_overlap(n, percent) * SPARE // 100)
+
+
+def _send_sets(buckets: int, percent: int | None):
+    """Document rows and packed postings; with ``percent`` only of the first shingles of a set."""
+
     def send(batches) -> Iterator[pd.DataFrame]:
         columns = ["bucket", "doc", "row", "digest", "n", "blob"]
         postings, seen, turn = packed.Postings(buckets), set(), 0
@@ -77,7 +99,7 @@ def _send_sets(buckets: int):
             rows = []
             for doc, row, text in zip(frame["doc"], frame["row"], frame["text"]):
                 held = shingles(text.lower().split())
-                digest = hashlib.md5(held.tobytes()).digest()[:12]
+                digest = hashlib.md5(held.tobytes()).digest()[: NAME_BYTES - 4]
                 owner = digest + len(held).to_bytes(4, "big")
                 turn += 1
                 rows.append((turn % buckets, doc, row, owner, len(held), None))
@@ -85,7 +107,7 @@ def _send_sets(buckets: int):
                     if len(seen) >= _SEEN:
                         seen.clear()
                     seen.add(owner)
-                    postings.add(owner, held)
+                    postings.add(owner, held if percent is None else held[: first_length(len(held), percent)])
                     if postings.full():
                         yield blobs()
             yield pd.DataFrame(rows, columns=columns)
@@ -95,43 +117,78 @@ def _send_sets(buckets: int):
     return send
 
 
-def _meet_shingles(buckets: int):
+def _shared_postings(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Of a bucket's postings, those of shingles that two sets hold: values, owners, holders, names."""
+    value, owner, owners, _ = packed.gather(blobs)
+    order = np.lexsort((owner, value))
+    value, owner = value[order], owner[order]
+    fresh = np.ones(len(value), bool)
+    fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+    value, owner = value[fresh], owner[fresh]
+    # Most shingles have one holder; only runs of equal ones are looked at further.
+    starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+    lengths = np.diff(np.append(starts, len(value)))
+    holders = np.repeat(lengths, lengths)
+    shared = holders > 1
+    return value[shared], owner[shared], holders[shared], owners
+
+
+def _by_home(owner: np.ndarray, owners: list[bytes], homes: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(home, places of its postings) for every home that has some."""
+    home = np.fromiter((int.from_bytes(one[:4], "big") for one in owners), np.int64, len(owners)) % homes
+    target = home[owner]
+    order = np.lexsort((owner, target))
+    edges = np.searchsorted(target[order], np.arange(homes + 1))
+    for number in np.flatnonzero(np.diff(edges)):
+        yield int(number), order[edges[number] : edges[number + 1]]
+
+
+def _meet_firsts(homes: int):
     def meet(batches) -> Iterator[pd.DataFrame]:
-        """Document rows as they are; of the postings, those of shingles that two sets hold."""
-        columns = ["doc", "row", "digest", "n", "bucket", "blob"]
+        """Document rows as they are; for every home its sets and how many of their firsts are shared."""
+        columns = ["doc", "row", "digest", "n", "home", "blob"]
         for _, rows in packed.by_key(batches, "bucket", ["doc", "row", "digest", "n", "blob"]):
             blobs = [row[4] for row in rows if row[4] is not None]
             out = [(*row[:4], -1, None) for row in rows if row[4] is None]
+            if blobs:
+                _, owner, _, owners = _shared_postings(blobs)
+                for number, part in _by_home(owner, owners, homes):
+                    used, counts = np.unique(owner[part], return_counts=True)
+                    blob = packed.dump(b"".join(owners[one] for one in used), counts.astype(np.int32))
+                    out.append((None, None, None, 0, number, blob))
             if out:
                 yield pd.DataFrame(out, columns=columns)
-            if not blobs:
-                continue
-            value, owner, owners, _ = packed.gather(blobs)
-            order = np.lexsort((owner, value))
-            value, owner = value[order], owner[order]
-            fresh = np.ones(len(value), bool)
-            fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-            value, owner = value[fresh], owner[fresh]
-            # Most shingles have one holder; only runs of equal ones are looked at further.
-            starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-            lengths = np.diff(np.append(starts, len(value)))
-            holders = np.repeat(lengths, lengths)
-            shared = holders > 1
-            value, owner, holders = value[shared], owner[shared], holders[shared]
-            home = np.fromiter((int.from_bytes(one[:4], "big") for one in owners), np.int64, len(owners))
-            target = home[owner] % buckets
-            order = np.lexsort((owner, target))
-            value, owner, holders, target = value[order], owner[order], holders[order], target[order]
-            edges = np.searchsorted(target, np.arange(buckets + 1))
+
+    return meet
+
+
+def _keep_sharing(percent: int):
+    """Names of the sets that share enough of their first shingles to have a partner."""
+
+    def keep(batches) -> Iterator[pd.DataFrame]:
+        for _, rows in packed.by_key(batches, "home", ["blob"]):
+            names, counts = zip(*(packed.load(blob) for (blob,) in rows))
+            used, at = np.unique(np.frombuffer(b"".join(names), f"S{NAME_BYTES}"), return_inverse=True)
+            total = np.bincount(at, np.concatenate(counts))
+            n = np.frombuffer(used.tobytes(), ">u4")[NAME_BYTES // 4 - 1 :: NAME_BYTES // 4].astype(np.int64)
+            kept = used[total >= least_shared(n, percent)]
+            yield pd.DataFrame({"id": [one.ljust(NAME_BYTES, b"\0") for one in kept.tolist()]})
+
+    return keep
+
+
+def _meet_shingles(homes: int):
+    def meet(batches) -> Iterator[pd.DataFrame]:
+        """Of the postings, those of shingles that two sets hold, sent to the homes of the sets."""
+        for _, rows in packed.by_key(batches, "bucket", ["blob"]):
+            value, owner, holders, owners = _shared_postings([blob for (blob,) in rows])
             out = []
-            for number in range(buckets):
-                part = slice(edges[number], edges[number + 1])
-                if edges[number] < edges[number + 1]:
-                    used, at = np.unique(owner[part], return_inverse=True)
-                    names = [owners[one] for one in used]
-                    blob = packed.dump(value[part], at.astype(np.int32), names, holders[part].astype(np.int64))
-                    out.append((None, None, None, 0, number, blob))
-            yield pd.DataFrame(out, columns=columns)
+            for number, part in _by_home(owner, owners, homes):
+                used, at = np.unique(owner[part], return_inverse=True)
+                names = [owners[one] for one in used]
+                blob = packed.dump(value[part], at.astype(np.int32), names, holders[part].astype(np.int64))
+                out.append((number, blob))
+            yield pd.DataFrame(out, columns=["home", "blob"])
 
     return meet
 
@@ -150,7 +207,7 @@ def _keep_likely(percent: int):
 
     def keep(batches) -> Iterator[pd.DataFrame]:
         columns = ["id", "n", "alone", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
-        for _, rows in packed.by_key(batches, "bucket", ["blob"]):
+        for _, rows in packed.by_key(batches, "home", ["blob"]):
             numbers: dict[bytes, int] = {}
             parts = []
             for (blob,) in rows:
@@ -166,7 +223,7 @@ def _keep_likely(percent: int):
             out = []
             for name, number in numbers.items():
                 low, high = edges[number], edges[number + 1]
-                n = int.from_bytes(name[12:], "big")
+                n = int.from_bytes(name[NAME_BYTES - 4 :], "big")
                 alone = n - int(high - low)
                 length = n - least_overlap(n, percent) + 1 - alone
                 if length > 0:
@@ -285,8 +342,34 @@ def _homes(held: DataFrame, stage) -> DataFrame:
     return homes
 
 
+def _visits(likely: DataFrame, homes: DataFrame) -> DataFrame:
+    """(id, visited): sets and the other homes that crowd one of their buckets, under any order.
+
+    A crowd is many sets of one home and no small part of it, so a visit costs about as much as the pairs
+    with the crowd would.
+    """
+    sizes = homes.groupBy(F.col("home").alias("visited")).agg(F.count(F.lit(1)).alias("size"))
+    found = None
+    for order in range(ORDERS):
+        held = _postings(likely, order).select("id", "token").join(homes.select("id", "home"), "id")
+        counted = held.groupBy("token", "home").agg(F.count(F.lit(1)).alias("sets"))
+        most = counted.groupBy("token").agg(
+            F.max(F.struct("sets", "home")).alias("most"), F.count(F.lit(1)).alias("homes")
+        )
+        crowds = (
+            most.filter((F.col("homes") > 1) & (F.col("most.sets") > CROWD))
+            .select("token", F.col("most.home").alias("visited"), F.col("most.sets").alias("sets"))
+            .join(sizes, "visited")
+            .filter(F.col("size") <= HOME_TO_CROWD * F.col("sets"))
+            .select("token", "visited")
+        )
+        guests = held.join(crowds, "token").filter("home <> visited").select("id", "visited")
+        found = guests if found is None else found.unionAll(guests)
+    return found.distinct()
+
+
 def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket but neither component nor home; one side is outside the bucket's largest."""
+    """Pairs that share a bucket but neither component nor home nor a visit; one side is outside the bucket's largest."""
     inside = held.join(_open_buckets(held), "token")
     outside = inside.filter(F.col("root") != F.col("main")).select(
         "token",
@@ -294,8 +377,10 @@ def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
         F.col("n").alias("x_n"),
         F.col("root").alias("x_root"),
         F.col("home").alias("x_home"),
+        F.col("visits").alias("x_visits"),
     )
     apart = (F.col("root") != F.col("x_root")) & (F.col("home") != F.col("x_home"))
+    apart &= ~F.array_contains("x_visits", F.col("home")) & ~F.array_contains("visits", F.col("x_home"))
     return (
         outside.join(inside, "token")
         .filter(apart & _sizes_fit(percent, "n", "x_n"))
@@ -309,9 +394,9 @@ class _Block:
 
     def __init__(self, rows: list[tuple]):
         ids, n, roots, main, shared, *prefixes = zip(*rows)
-        self.ids = np.array(ids, "S16")
+        self.ids = np.array(ids, f"S{len(ids[0])}")
         self.n = np.array(n, np.int64)
-        self.roots = np.array(roots, "S16")
+        self.roots = np.array(roots, f"S{len(ids[0])}")
         self.main = np.array(main, bool)
         parts = [np.frombuffer(one, np.uint64) for one in shared]
         self.values, self.at = np.unique(np.concatenate(parts), return_inverse=True)
@@ -332,11 +417,11 @@ class _Block:
         marks[at[self.values[at] == values]] = 1
         return marks
 
-    def links(self, row: tuple, percent: int) -> list[bytes]:
-        """A similar set of every other component; of two sets outside the main one, the smaller asks."""
+    def links(self, row: tuple, percent: int, guest: bool = False) -> list[bytes]:
+        """A similar set of every other component; of two outside the main one, the smaller or the guest asks."""
         name, n, root, _, shared, *prefixes = row
         fits = (100 * self.n >= percent * n) & (100 * n >= percent * self.n)
-        fits &= (self.roots != np.bytes_(root)) & (self.main | (self.ids > np.bytes_(name)))
+        fits &= (self.roots != np.bytes_(root)) & (self.main | guest | (self.ids > np.bytes_(name)))
         for order, prefix in enumerate(prefixes):
             if not fits.any():
                 return []
@@ -349,32 +434,35 @@ class _Block:
         fits &= 100 * common >= percent * (n + self.n - common)
         found = np.flatnonzero(fits)
         _, first = np.unique(self.roots[found], return_index=True)
-        return [self.ids[one].ljust(16, b"\0") for one in found[first]]
+        return [self.ids[one].ljust(self.ids.itemsize, b"\0") for one in found[first]]
 
 
 def _meet_blocks(percent: int):
-    fields = ["asks", "id", "n", "root", "main", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
+    fields = ["asks", "guest", "id", "n", "root", "main", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
 
     def meet(batches) -> Iterator[pd.DataFrame]:
         for _, rows in packed.by_key(batches, "place", fields):
             asking = [row[1:] for row in rows if row[0]]
-            held = [row[1:] for row in rows if not row[0]]
+            held = [row[2:] for row in rows if not row[0]]
             if asking and held:
                 block = _Block(held)
-                pairs = [(row[0], other) for row in asking for other in block.links(row, percent)]
+                pairs = [
+                    (row[0], other) for guest, *row in asking for other in block.links(row, percent, guest)
+                ]
                 yield pd.DataFrame(pairs, columns=["a", "b"])
 
     return meet
 
 
-def _home_links(homes: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
-    """Verified pairs (a, b) within homes, between components.
+def _home_links(present: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
+    """Verified pairs (a, b) within homes and with their guests, between components.
 
-    Every set outside a home's main component meets every set of the home: blocks of those that ask
-    and blocks of those that are held are paired, so a home of any size spreads over tasks.
+    Every guest, and every set outside a home's main component, meets every set of the home: blocks of
+    those that ask and blocks of those that are held are paired, so a home of any size spreads over tasks.
     """
-    asks = F.col("root") != F.col("home")
-    sized = homes.join(likely.select("id", F.octet_length("shared").alias("bytes")), "id")
+    asks = F.col("guest") | (F.col("root") != F.col("home"))
+    held = ~F.col("guest")
+    sized = present.join(likely.select("id", F.octet_length("shared").alias("bytes")), "id")
 
     def blocks(which: Column) -> Column:
         sets = F.sum(F.when(which, 1).otherwise(0)) / BLOCK_SETS
@@ -383,13 +471,14 @@ def _home_links(homes: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
 
     cuts = (
         sized.groupBy(F.col("home").alias("of"))
-        .agg(blocks(asks).alias("asking"), blocks(F.lit(True)).alias("holding"))
+        .agg(blocks(asks).alias("asking"), blocks(held).alias("holding"))
         .filter("asking > 0")
     )
-    members = homes.join(cuts, F.col("home") == F.col("of")).join(likely, "id")
+    members = present.join(cuts, F.col("home") == F.col("of")).join(likely, "id")
     block_asking = F.pmod(F.xxhash64(F.lit(1), "id"), F.col("asking")).cast("int")
     block_held = F.pmod(F.xxhash64(F.lit(2), "id"), F.col("holding")).cast("int")
-    columns = ["n", "root", (~asks).alias("main"), "shared", *[f"prefix{at}" for at in range(ORDERS)]]
+    main = F.col("root") == F.col("home")
+    columns = ["n", "root", main.alias("main"), "guest", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
 
     def sent(frame: DataFrame, asking: bool, one: Column, other: Column) -> DataFrame:
         placed = frame.withColumn("one", one).withColumn("other", other)
@@ -399,7 +488,7 @@ def _home_links(homes: DataFrame, likely: DataFrame, percent: int) -> DataFrame:
     every_held = F.explode(F.sequence(F.lit(0), F.col("holding") - 1))
     every_asking = F.explode(F.sequence(F.lit(0), F.col("asking") - 1))
     rows = sent(members.filter(asks), True, block_asking, every_held).unionAll(
-        sent(members, False, every_asking, block_held)
+        sent(members.filter(held), False, every_asking, block_held)
     )
     return (
         rows.repartition("place")
@@ -418,6 +507,25 @@ def _with_roots(likely: DataFrame, order: int, roots: DataFrame) -> DataFrame:
     )
 
 
+def _buckets(texts: DataFrame) -> tuple[int, int]:
+    """Buckets of bounded text, one per task at any size of the input, and the partitions for them."""
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-int(total) // BUCKET_BYTES))
+    return buckets, min(buckets, MOST_PARTITIONS)
+
+
+def _posted(texts: DataFrame, buckets: int, partitions: int, percent: int | None) -> DataFrame:
+    """Document rows and postings, by bucket."""
+    return (
+        texts.mapInPandas(
+            handing_back(_send_sets(buckets, percent)),
+            "bucket int, doc string, row string, digest binary, n long, blob binary",
+        )
+        .repartitionById(partitions, "bucket")
+        .sortWithinPartitions("bucket")
+    )
+
+
 def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -429,25 +537,35 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("string").alias("doc"), row_key().alias("row"), binary.alias("text")
     )
-    # Both rounds take one bucket of bounded text per task, at any size of the input.
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-int(total) // BUCKET_BYTES))
-    partitions = min(buckets, MOST_PARTITIONS)
+    buckets, partitions = _buckets(texts)
+    homes = -(-buckets // BUCKETS_A_HOME)
     met = stage(
-        texts.mapInPandas(
-            handing_back(_send_sets(buckets)), "bucket int, doc string, row string, digest binary, n long, blob binary"
-        )
-        .repartitionById(partitions, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInPandas(handing_back(_meet_shingles(buckets)), "doc string, row string, digest binary, n long, bucket int, blob binary"),
-        "shared-shingles",
+        _posted(texts, buckets, partitions, percent).mapInPandas(
+            handing_back(_meet_firsts(homes)), "doc string, row string, digest binary, n long, home int, blob binary"
+        ),
+        "shared-firsts",
+    )
+    sharing = (
+        met.filter("home >= 0")
+        .select("home", "blob")
+        .repartitionById(homes, "home")
+        .sortWithinPartitions("home")
+        .mapInPandas(handing_back(_keep_sharing(percent)), "id binary")
     )
+    # One row stands for all of a set.
+    stands = met.filter("home < 0").groupBy("digest").agg(F.min("row").alias("row"))
+    chosen = stands.join(sharing, F.col("digest") == F.col("id")).select("row")
+    texts = stage(texts.join(chosen, "row", "left_semi"), "sharing-texts")
+
+    buckets, partitions = _buckets(texts)
     prefixes = ", ".join(f"prefix{at} array<bigint>" for at in range(ORDERS))
     likely = stage(
-        met.filter("bucket >= 0")
+        _posted(texts, buckets, partitions, None)
+        .filter("blob is not null")
         .select("bucket", "blob")
-        .repartitionById(partitions, "bucket")
-        .sortWithinPartitions("bucket")
+        .mapInPandas(handing_back(_meet_shingles(buckets)), "home int, blob binary")
+        .repartitionById(partitions, "home")
+        .sortWithinPartitions("home")
         .mapInPandas(
             handing_back(_keep_likely(percent)), f"id binary, n long, alone double, shared binary, {prefixes}"
         ),
@@ -460,16 +578,23 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
         links = links.unionAll(stage(_verified(pairs, likely, percent), "leader-links"))
         roots = connected_components(links, stage)
     homes = _homes(_with_roots(likely, 0, roots), stage)
-    inside = stage(_home_links(homes, likely, percent), "home-links")
-    crossing = _crossing_pairs(_postings(likely, 0).join(homes, "id"), percent)
+    visits = stage(_visits(likely, homes), "visits")
+    guests = visits.join(homes.select("id", "root"), "id").select("id", "root", F.col("visited").alias("home"))
+    present = homes.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    inside = stage(_home_links(present, likely, percent), "home-links")
+    known = visits.groupBy(F.col("id").alias("of")).agg(F.collect_list("visited").alias("visits"))
+    placed = homes.join(known, F.col("id") == F.col("of"), "left").select(
+        *homes.columns, F.coalesce("visits", F.array().cast("array<binary>")).alias("visits")
+    )
+    crossing = _crossing_pairs(_postings(likely, 0).join(placed, "id"), percent)
     for order in range(1, ORDERS):
-        other = _crossing_pairs(_postings(likely, order).join(homes, "id"), percent)
+        other = _crossing_pairs(_postings(likely, order).join(placed, "id"), percent)
         crossing = crossing.join(other, ["a", "b"], "left_semi")
     crossing = stage(crossing, "candidates")
     found = stage(_verified(crossing, likely, percent), "crossing-links")
     roots = connected_components(links.unionAll(inside).unionAll(found), stage)
 
-    rows = met.filter("bucket < 0").select(
+    rows = met.filter("home < 0").select(
         F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         F.col("row").alias("row_key"),
         "digest",

@@ -67,6 +67,21 @@ def _unplaned(planes: np.ndarray) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def _name_planes(names: list[bytes]):
+    """Byte planes of names of one length, which need no framing; other names as they are."""
+    width = len(names[0])
+    if not width or any(len(one) != width for one in names):
+        return names
+    return np.ascontiguousarray(np.frombuffer(b"".join(names), np.uint8).reshape(-1, width).T)
+
+
+def _names(planes) -> list[bytes]:
+    if isinstance(planes, list):
+        return planes
+    width, flat = len(planes), np.ascontiguousarray(planes.T).tobytes()
+    return [flat[at : at + width] for at in range(0, len(flat), width)]
+
+
 class Postings:
     """Collects postings of many owners and hands them out as (bucket, blob)."""
 
@@ -109,7 +124,7 @@ class Postings:
                 yield number, dump(
                     _planes(values[part]),
                     at.astype(np.uint16 if len(used) < 65536 else np.int32),
-                    [owners[one] for one in used],
+                    _name_planes([owners[one] for one in used]),
                     None if more is None else more[part],
                 )
 
@@ -119,7 +134,8 @@ def gather(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.
     numbers: dict[bytes, int] = {}
     values, owner, more = [], [], []
     for blob in blobs:
-        planes, at, owners, extra = load(blob)
+        planes, at, names, extra = load(blob)
+        owners = _names(names)
         known = np.fromiter(
             (numbers.setdefault(one, len(numbers)) for one in owners), np.int32, len(owners)
         )

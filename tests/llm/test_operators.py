@@ -215,6 +215,87 @@ def test_block_links_are_those_of_brute_force():
         assert {of[one] for one in block.links(row, 50)} == wanted
 
 
+def test_first_shingles_tell_of_every_partner():
+    import numpy as np
+
+    random = np.random.default_rng(8)
+    linked = 0
+    for _ in range(3000):
+        n = int(random.integers(1, 60))
+        held = random.choice(2**62, n + 20, replace=False).astype(np.uint64)
+        one, other = np.sort(held[:n]), np.sort(held[random.integers(0, 1 + n // 6) : n + random.integers(0, 1 + n // 6)])
+        common = len(np.intersect1d(one, other))
+        if common and 100 * common >= 80 * len(np.union1d(one, other)):
+            linked += 1
+            firsts = [x[: ngram_join.first_length(len(x), 80)] for x in (one, other)]
+            shared = len(np.intersect1d(*firsts))
+            assert shared >= ngram_join.least_shared(len(one), 80) and shared >= ngram_join.least_shared(len(other), 80)
+    assert linked > 500
+
+
+def test_only_sets_that_may_have_a_partner_travel_whole(spark):
+    rows = [(at, prose(500 + at, 60)) for at in range(40)]
+    rows += [(100, rows[0][1] + " more"), (101, rows[0][1]), (102, rows[1][1]), (103, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    staged = {}
+
+    def kept(one, name):
+        return staged.setdefault(name, stage(one, name)) if name == "sharing-texts" else stage(one, name)
+
+    found = [tuple(r) for r in ngram_join.similar_groups(frame, kept).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(found) == sorted(brute_groups(rows))
+    assert {row["doc"] for row in staged["sharing-texts"].collect()} <= {"0", "100", "101"}
+
+
+def test_sets_visit_the_home_that_crowds_their_bucket(spark, monkeypatch):
+    # Two families with a passage in common: near misses of each other, whose pairs are not to be listed.
+    monkeypatch.setattr(ngram_join, "CROWD", 8)
+    staged, asked = {}, []
+    real = ngram_join._crossing_pairs
+
+    def listed(held, percent):
+        pairs = stage(real(held, percent), "listed")
+        asked.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_crossing_pairs", listed)
+
+    def kept(one, name):
+        staged[name] = stage(one, name)
+        return staged[name]
+
+    common, first, second = prose(31, 70).split(), prose(32, 30).split(), prose(33, 30).split()
+    rows = []
+    for at in range(60):
+        own = list(first if at % 3 else second)
+        # Some of the one family are near the other, so that links may cross as well.
+        own[at % 5 : at % 5 + at % 4] = (second if at % 3 else first)[at % 5 : at % 5 + at % 4]
+        copy = common + own
+        copy[(at * 7) % 70] = f"z{at % 6}"
+        rows.append((at, " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in ngram_join.similar_groups(frame, kept).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(found) == sorted(brute_groups(rows))
+    assert staged["visits"].count() > 0 and len({group for *_, group in found}) > 5
+
+
+def test_names_of_postings_survive_their_packing():
+    import numpy as np
+
+    from orderlens.llm import packed
+
+    for names in ([b"\x00" * 12, b"a" * 11 + b"\x00", bytes(range(12))], [b"a", b"bcd", b""]):
+        postings = packed.Postings(3)
+        for at, name in enumerate(names):
+            postings.add(name, np.arange(at, 40 + at, dtype=np.uint64))
+        found = set()
+        for bucket, blob in postings.flush():
+            values, owner, owners, _ = packed.gather([blob])
+            assert set((values % np.uint64(3)).tolist()) == {bucket}
+            found |= {(owners[one], int(value)) for one, value in zip(owner, values)}
+        assert found == {(name, at + value) for at, name in enumerate(names) for value in range(40)}
+
+
 def test_one_of_each_group_stays(docs):
     rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
     groups = brute_groups(rows)
