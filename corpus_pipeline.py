@@ -11,22 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontam, mixing, ngram_join, queries, sharding, toxicity
-from orderlens.llm.common import word_count
+from orderlens.llm.common import short_batches, word_count
 from orderlens.scratch import stage
 from orderlens.sources.tables import read_table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     labels = read_table(spark, sf_dir, "labels")
     chain = toxicity.fit_chain(docs, labels, queries.toxicity_categories(), stage)
     return toxicity.remove_reported(docs, chain, queries.REJECT_ON)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return ngram_join.keep_one(docs, stage)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return decontam.remove_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
