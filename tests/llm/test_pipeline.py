@@ -53,3 +53,16 @@ def test_stages_take_empty_tables(spark):
 def test_every_operator_is_registered():
     names = queries.queries()
     assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+
+
+def test_few_rows_travel_to_python_at_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "keep_one", lambda docs, stage: docs)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, wanted in (("10000", "1000"), ("0", "1000"), ("300", "300")):
+            spark.conf.set(key, given)
+            corpus_pipeline.one_of_each_group(spark, spark.range(1), "")
+            assert spark.conf.get(key) == wanted
+    finally:
+        spark.conf.set(key, before)
