@@ -2,19 +2,25 @@
 
 Alternating large-star and small-star steps: links are rewired to smaller ids until every
 component is a star around its smallest id. Each step is written to the shared folder, so a lost
-executor costs one step and plans stay short. A hub's minimum combines on the map side.
+executor costs one step. A hub's minimum combines on the map side. Links are read once where both of their
+ends are needed and no step is repeated to see that nothing changes, as every plan is held by the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROUNDS = 60
 
 
+def _two_links(one: tuple, other: tuple) -> Column:
+    """Both links, (a, b) each, in two rows."""
+    return F.explode(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in (one, other)]))
+
+
 def _both_ways(links: DataFrame) -> DataFrame:
-    return links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return links.select(_two_links(("a", "b"), ("b", "a")).alias("link")).select("link.*")
 
 
 def _rewired(neighbours: DataFrame, larger_only: bool) -> DataFrame:
@@ -23,10 +29,21 @@ def _rewired(neighbours: DataFrame, larger_only: bool) -> DataFrame:
     joined = neighbours.join(least, F.col("a") == F.col("hub"))
     if larger_only:
         return joined.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return (
-        joined.select(F.col("b").alias("a"), F.col("least").alias("b"))
-        .unionAll(least.select(F.col("hub").alias("a"), F.col("least").alias("b")))
-    )
+    return joined.select(_two_links(("b", "least"), ("a", "least")).alias("link")).select("link.*")
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every a of the links (a > b) has one b only, which is no a: the steps change nothing then."""
+    ends = links.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("id"), F.lit(1).alias("links"), F.lit(0).alias("centre")),
+                F.struct(F.col("b").alias("id"), F.lit(0).alias("links"), F.lit(1).alias("centre")),
+            )
+        ).alias("end")
+    ).select("end.*")
+    counted = ends.groupBy("id").agg(F.sum("links").alias("links"), F.max("centre").alias("centre"))
+    return counted.filter("links > 1 or links = 1 and centre = 1").first() is None
 
 
 def connected_components(links: DataFrame, stage) -> DataFrame:
@@ -37,18 +54,13 @@ def connected_components(links: DataFrame, stage) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = None
     for _ in range(MAX_ROUNDS):
+        if _are_stars(current):
+            break
         large = _rewired(_both_ways(current), larger_only=True).distinct()
         small = _rewired(large, larger_only=False).filter("a <> b").distinct()
         current = stage(small, "links")
-        now = current.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if now == before:
-            break
-        before = now
     else:
         raise RuntimeError("components did not settle")
-    roots = current.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()
-    return current.select(F.col("a").alias("id"), F.col("b").alias("root")).unionAll(roots)
+    named = current.select(_two_links(("a", "b"), ("b", "b")).alias("link"))
+    return stage(named.select(F.col("link.a").alias("id"), F.col("link.b").alias("root")).distinct(), "roots")

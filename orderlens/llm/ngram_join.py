@@ -19,6 +19,9 @@ Documents are sets of word shingles; two link when their Jaccard similarity reac
    a set with a whole block are counted at once and one link per component leaves. Only pairs between
    homes are listed.
 
+All orders go through one plan, and what a later step reads more than once is written first: the driver
+holds every plan, and anew whenever one of its stages ends.
+
 Shingles are compared by 64-bit hashes.
 
 Edge cases: NULL or blank text is an empty set, linked with nothing; fewer words than a shingle make one
@@ -275,6 +278,14 @@ def _postings(likely: DataFrame, order: int) -> DataFrame:
     return likely.select("id", "n", "alone", F.explode(f"prefix{order}").alias("token"))
 
 
+def _placed_postings(likely: DataFrame, homes: DataFrame) -> DataFrame:
+    """Postings under all orders, ``order_bit`` tells which, of the sets that have a home."""
+    orders = [F.struct(F.lit(1 << at).alias("order_bit"), F.col(f"prefix{at}").alias("tokens")) for at in range(ORDERS)]
+    each = likely.select("id", "n", F.explode(F.array(*orders)).alias("under"))
+    postings = each.select("id", "n", "under.order_bit", F.explode("under.tokens").alias("token"))
+    return postings.join(homes, "id")
+
+
 def _sizes_fit(percent: int, one: str, other: str):
     return (F.col(one) * 100 >= F.col(other) * percent) & (F.col(other) * 100 >= F.col(one) * percent)
 
@@ -300,13 +311,13 @@ def _leader_pairs(held: DataFrame, percent: int, turn: int) -> DataFrame:
     )
 
 
-def _open_buckets(held: DataFrame) -> DataFrame:
+def _open_buckets(held: DataFrame, *bucket: str) -> DataFrame:
     """Buckets with several components, and the largest of them."""
-    parts = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("members"))
-    largest = parts.groupBy("token").agg(
+    parts = held.groupBy(*bucket, "root").agg(F.count(F.lit(1)).alias("members"))
+    largest = parts.groupBy(*bucket).agg(
         F.max(F.struct("members", "root")).alias("largest"), F.count(F.lit(1)).alias("roots")
     )
-    return largest.filter("roots > 1").select("token", F.col("largest.root").alias("main"))
+    return largest.filter("roots > 1").select(*bucket, F.col("largest.root").alias("main"))
 
 
 def _voted(seats: DataFrame) -> DataFrame:
@@ -326,7 +337,7 @@ def _homes(held: DataFrame, stage) -> DataFrame:
     small homes around a large one join it.
     """
     seats = stage(
-        held.join(_open_buckets(held), "token").select("id", "root", "token", "main"), "seats"
+        held.join(_open_buckets(held, "token"), "token").select("id", "root", "token", "main"), "seats"
     )
     homes = stage(_voted(seats), "homes")
     for _ in range(HOME_TURNS):
@@ -342,37 +353,46 @@ def _homes(held: DataFrame, stage) -> DataFrame:
     return homes
 
 
-def _visits(likely: DataFrame, homes: DataFrame) -> DataFrame:
+def _visits(held: DataFrame, homes: DataFrame) -> DataFrame:
     """(id, visited): sets and the other homes that crowd one of their buckets, under any order.
 
     A crowd is many sets of one home and no small part of it, so a visit costs about as much as the pairs
     with the crowd would.
     """
     sizes = homes.groupBy(F.col("home").alias("visited")).agg(F.count(F.lit(1)).alias("size"))
-    found = None
-    for order in range(ORDERS):
-        held = _postings(likely, order).select("id", "token").join(homes.select("id", "home"), "id")
-        counted = held.groupBy("token", "home").agg(F.count(F.lit(1)).alias("sets"))
-        most = counted.groupBy("token").agg(
-            F.max(F.struct("sets", "home")).alias("most"), F.count(F.lit(1)).alias("homes")
-        )
-        crowds = (
-            most.filter((F.col("homes") > 1) & (F.col("most.sets") > CROWD))
-            .select("token", F.col("most.home").alias("visited"), F.col("most.sets").alias("sets"))
-            .join(sizes, "visited")
-            .filter(F.col("size") <= HOME_TO_CROWD * F.col("sets"))
-            .select("token", "visited")
-        )
-        guests = held.join(crowds, "token").filter("home <> visited").select("id", "visited")
-        found = guests if found is None else found.unionAll(guests)
-    return found.distinct()
+    counted = held.groupBy("order_bit", "token", "home").agg(F.count(F.lit(1)).alias("sets"))
+    most = counted.groupBy("order_bit", "token").agg(
+        F.max(F.struct("sets", "home")).alias("most"), F.count(F.lit(1)).alias("homes")
+    )
+    crowds = (
+        most.filter((F.col("homes") > 1) & (F.col("most.sets") > CROWD))
+        .select("order_bit", "token", F.col("most.home").alias("visited"), F.col("most.sets").alias("sets"))
+        .join(sizes, "visited")
+        .filter(F.col("size") <= HOME_TO_CROWD * F.col("sets"))
+        .select("order_bit", "token", "visited")
+    )
+    guests = held.join(crowds, ["order_bit", "token"]).filter("home <> visited")
+    return guests.select("id", "visited").distinct()
 
 
-def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket but neither component nor home nor a visit; one side is outside the bucket's largest."""
-    inside = held.join(_open_buckets(held), "token")
+def _open_seats(held: DataFrame, visits: DataFrame) -> DataFrame:
+    """Postings in open buckets, of any order, with what else the pairs are told by."""
+    bucket = ["order_bit", "token"]
+    known = visits.groupBy(F.col("id").alias("of")).agg(F.collect_list("visited").alias("visits"))
+    return (
+        held.join(_open_buckets(held, *bucket), bucket)
+        .join(known, F.col("id") == F.col("of"), "left")
+        .withColumn("visits", F.coalesce("visits", F.array().cast("array<binary>")))
+        .drop("of")
+    )
+
+
+def _crossing_pairs(inside: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a bucket under every order but neither component nor home nor a visit; one side
+    is outside the bucket's largest."""
+    bucket = ["order_bit", "token"]
     outside = inside.filter(F.col("root") != F.col("main")).select(
-        "token",
+        *bucket,
         F.col("id").alias("x"),
         F.col("n").alias("x_n"),
         F.col("root").alias("x_root"),
@@ -382,10 +402,12 @@ def _crossing_pairs(held: DataFrame, percent: int) -> DataFrame:
     apart = (F.col("root") != F.col("x_root")) & (F.col("home") != F.col("x_home"))
     apart &= ~F.array_contains("x_visits", F.col("home")) & ~F.array_contains("visits", F.col("x_home"))
     return (
-        outside.join(inside, "token")
+        outside.join(inside, bucket)
         .filter(apart & _sizes_fit(percent, "n", "x_n"))
-        .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
-        .distinct()
+        .groupBy(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
+        .agg(F.bit_or("order_bit").alias("orders"))
+        .filter(F.col("orders") == (1 << ORDERS) - 1)
+        .select("a", "b")
     )
 
 
@@ -478,17 +500,21 @@ def _home_links(present: DataFrame, likely: DataFrame, percent: int) -> DataFram
     block_asking = F.pmod(F.xxhash64(F.lit(1), "id"), F.col("asking")).cast("int")
     block_held = F.pmod(F.xxhash64(F.lit(2), "id"), F.col("holding")).cast("int")
     main = F.col("root") == F.col("home")
-    columns = ["n", "root", main.alias("main"), "guest", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
+    seat = "array<struct<asks: boolean, one: int, other: int>>"
 
-    def sent(frame: DataFrame, asking: bool, one: Column, other: Column) -> DataFrame:
-        placed = frame.withColumn("one", one).withColumn("other", other)
-        place = F.concat_ws("|", F.hex("home"), F.col("one").cast("string"), F.col("other").cast("string"))
-        return placed.select(place.alias("place"), F.lit(asking).alias("asks"), "id", *columns)
+    def seats(which: Column, asking: bool, one, other) -> Column:
+        """Where a member sits when it asks, or is held: once against every block of the other kind."""
+        across = F.sequence(F.lit(0), F.col("holding" if asking else "asking") - 1)
+        placed = F.transform(across, lambda at: F.struct(F.lit(asking).alias("asks"), one(at).alias("one"), other(at).alias("other")))
+        return F.when(which, placed.cast(seat)).otherwise(F.array().cast(seat))
 
-    every_held = F.explode(F.sequence(F.lit(0), F.col("holding") - 1))
-    every_asking = F.explode(F.sequence(F.lit(0), F.col("asking") - 1))
-    rows = sent(members.filter(asks), True, block_asking, every_held).unionAll(
-        sent(members.filter(held), False, every_asking, block_held)
+    every = F.concat(
+        seats(asks, True, lambda _: block_asking, lambda at: at), seats(held, False, lambda at: at, lambda _: block_held)
+    )
+    place = F.concat_ws("|", F.hex("home"), F.col("seat.one").cast("string"), F.col("seat.other").cast("string"))
+    columns = ["n", "root", main.alias("main"), "guest", "shared", *[f"prefix{at}" for at in range(ORDERS)]]
+    rows = members.withColumn("seat", F.explode(every)).select(
+        place.alias("place"), F.col("seat.asks").alias("asks"), "id", *columns
     )
     return (
         rows.repartition("place")
@@ -507,6 +533,12 @@ def _with_roots(likely: DataFrame, order: int, roots: DataFrame) -> DataFrame:
     )
 
 
+def _joined_roots(roots: DataFrame, links: DataFrame, stage) -> DataFrame:
+    """Components of what is known, as stars, and of new links."""
+    known = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    return connected_components(known.unionAll(links), stage)
+
+
 def _buckets(texts: DataFrame) -> tuple[int, int]:
     """Buckets of bounded text, one per task at any size of the input, and the partitions for them."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -571,28 +603,21 @@ def similar_groups(docs: DataFrame, stage, percent: int = PERCENT) -> DataFrame:
         ),
         "likely-sets",
     )
-    links = likely.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     roots = likely.select("id", F.col("id").alias("root")).limit(0)
     for turn in range(len(LEADERS_TRIED)):
         pairs = _leader_pairs(_with_roots(likely, 0, roots), percent, turn)
-        links = links.unionAll(stage(_verified(pairs, likely, percent), "leader-links"))
-        roots = connected_components(links, stage)
+        links = stage(_verified(pairs, likely, percent), "leader-links")
+        roots = _joined_roots(roots, links, stage)
     homes = _homes(_with_roots(likely, 0, roots), stage)
-    visits = stage(_visits(likely, homes), "visits")
+    held = stage(_placed_postings(likely, homes), "postings")
+    visits = stage(_visits(held, homes), "visits")
     guests = visits.join(homes.select("id", "root"), "id").select("id", "root", F.col("visited").alias("home"))
     present = homes.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
-    inside = stage(_home_links(present, likely, percent), "home-links")
-    known = visits.groupBy(F.col("id").alias("of")).agg(F.collect_list("visited").alias("visits"))
-    placed = homes.join(known, F.col("id") == F.col("of"), "left").select(
-        *homes.columns, F.coalesce("visits", F.array().cast("array<binary>")).alias("visits")
-    )
-    crossing = _crossing_pairs(_postings(likely, 0).join(placed, "id"), percent)
-    for order in range(1, ORDERS):
-        other = _crossing_pairs(_postings(likely, order).join(placed, "id"), percent)
-        crossing = crossing.join(other, ["a", "b"], "left_semi")
-    crossing = stage(crossing, "candidates")
+    inside = stage(_home_links(stage(present, "present"), likely, percent), "home-links")
+    seats = stage(_open_seats(held, visits), "open-seats")
+    crossing = stage(_crossing_pairs(seats, percent), "candidates")
     found = stage(_verified(crossing, likely, percent), "crossing-links")
-    roots = connected_components(links.unionAll(inside).unionAll(found), stage)
+    roots = _joined_roots(roots, inside.unionAll(found), stage)
 
     rows = met.filter("home < 0").select(
         F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"),

@@ -279,6 +279,38 @@ def test_sets_visit_the_home_that_crowds_their_bucket(spark, monkeypatch):
     assert staged["visits"].count() > 0 and len({group for *_, group in found}) > 5
 
 
+def test_plans_of_the_join_stay_small(spark):
+    # The driver holds each plan, and anew whenever one of its stages ends.
+    base = prose(3, 60).split()
+    rows = [(at, " ".join([*base[: at % 50], f"z{at}", *base[at % 50 :]])) for at in range(30)]
+    sizes = {}
+
+    def kept(one, name):
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        sizes[name] = max(sizes.get(name, 0), plan.count("Exchange"))
+        return stage(one, name)
+
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in ngram_join.similar_groups(frame, kept).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(found) == sorted(brute_groups(rows))
+    assert {"links", "home-links", "candidates"} <= set(sizes) and max(sizes.values()) <= 16, sizes
+
+
+def test_settled_components_take_no_further_step(spark):
+    written = []
+
+    def kept(one, name):
+        written.append(name)
+        return stage(one, name)
+
+    stars = spark.createDataFrame([(0, 3), (0, 4), (4, 0), (1, 2), (7, 7)], "a long, b long")
+    assert sorted(tuple(row) for row in connected_components(stars, kept).collect()) == [(0, 0), (1, 1), (2, 1), (3, 0), (4, 0)]
+    assert written.count("links") == 1
+    chain = spark.createDataFrame([(at, at + 1) for at in range(40)], "a long, b long")
+    assert {row["root"] for row in connected_components(chain, kept).collect()} == {0}
+    assert connected_components(stars.limit(0), kept).count() == 0
+
+
 def test_names_of_postings_survive_their_packing():
     import numpy as np
 
