@@ -1,5 +1,6 @@
 """Medians by narrowing ranges, and boosting that keeps its best round."""
 
+import os
 import random
 import statistics
 from datetime import date
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.config import RunConfig
-from orderlens.operators import models, ranking
+from orderlens.operators import boosting, models, ranking
 
 
 @pytest.mark.parametrize("ranges", [2, 3, 512])
@@ -186,3 +187,46 @@ def test_only_open_columns_are_read_again(spark, monkeypatch):
     found = ranking.exact_medians(spark.createDataFrame(rows, "few double, many double"), ["few", "many"])
     assert found == {"few": 0.0, "many": statistics.median(value for _, value in rows)}
     assert read[0] == 2 and len(read) > 1 and read[-1] == 1
+
+
+def trees_of(model) -> list[tuple[str, ...]]:
+    """Splits of a boosted model, and its leaves to six digits."""
+    lines = [line.strip() for line in model.toDebugString.split("\n")[1:] if line.strip()]
+    return [f"{float(line.split(': ')[1]):.6f}" if "Predict" in line else line for line in lines]
+
+
+def test_classes_grow_together_as_sparks_trees(spark, monkeypatch):
+    """Fits of all classes share their passes, go on where they stopped, and are those of Spark."""
+    monkeypatch.setattr(boosting, "_BLOCK_ROWS", 100)
+    passes = []
+    run = boosting.Boosting._run
+    monkeypatch.setattr(boosting.Boosting, "_run", lambda self, *work: (passes.append(work), run(self, *work))[1])
+    monkeypatch.setattr(models, "_FITS_AT_ONCE", 1)
+    dice = random.Random(21)
+    rows = []
+    for at in range(3000):
+        x, z, kind = dice.random(), dice.choice((None, dice.gauss(0, 1))), dice.choice("RST")
+        score = x + (0.4 if kind == "R" else 0.0) + dice.random()
+        rows.append((x, z, kind, "low" if score < 0.8 else "mid" if score < 1.4 else "top", f"c{at // 20}"))
+    table = spark.createDataFrame(
+        rows, "cadence_progress double, order_momentum double, region string, y string, customer_id string"
+    )
+    config = RunConfig(boosting_rate=0.2, boosting_depth=3, boosting_min_leaf=20, boosting_rounds=20, boosting_patience=20)
+    data = models.prepare_training(table, [*FEATURES, "region"], "y", False)
+    # Weights by class count in the trees and in the loss.
+    weighted = data.vectors.withColumn("weight", F.when(F.col("label") == 0.0, 2.5).otherwise(0.75))
+    fits = models._fit_boosting(weighted, [0.0, 1.0, 2.0], config)
+    # Sixteen rounds, then the rest: a level of all classes is one pass, and the last losses are one more.
+    assert len(passes) == 20 * 3 + 1
+    for at, fit in enumerate(fits):
+        one = weighted.withColumn("label", (F.col("label") == float(at)).cast("double"))
+        plain = models._boosting(20, config).fit(one.filter("not held_out"))
+        losses = plain.evaluateEachIteration(one.filter("held_out"))
+        assert fit.losses == pytest.approx(losses, abs=1e-7)
+        kept = fit.model.getNumTrees
+        assert kept == models.best_round(losses, 20, config.early_stopping_tolerance)[0]
+        text = trees_of(plain)
+        assert trees_of(fit.model) == (text[: text.index(f"Tree {kept} (weight 0.2):")] if kept < 20 else text)
+    # Folders of saved trees and of margins are gone.
+    folder = boosting.new_path(spark, "x").rpartition("/")[0]
+    assert not [name for name in os.listdir(folder) if name.startswith("trees-")]
